@@ -27,9 +27,8 @@ def daily_metrics(
         F.col(s.SYMBOL).alias(s.LABEL),
         F.col(s.NAME).alias(s.TITLE),
         calendar.instant_of(observations, s.TIMESTAMP).alias("_seen"),
-        s.PRICE,
-        s.MARKET_CAP,
-        s.TOTAL_VOLUME,
+        # converted once here, so that sum and count need not each convert again
+        *[numbers.measure(c).alias(c) for c in (s.PRICE, s.MARKET_CAP, s.TOTAL_VOLUME)],
     ).where(F.col(s.DAY).isNotNull())
     return (
         dated.groupBy(s.DAY, s.ASSET, s.LABEL, s.TITLE)
