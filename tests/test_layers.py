@@ -1,5 +1,8 @@
 """Bronze text, silver versions, streams and late rows."""
 
+import os
+import time
+
 import pytest
 from conftest import MARKET, keyed, observations
 from pyspark.sql import functions as F
@@ -144,6 +147,28 @@ def test_stream_loads_each_file_once(spark, market, tmp_path):
     same(result.drop(s.INGESTED_AT), expected.drop(s.INGESTED_AT))
 
 
+def test_stream_takes_old_files_that_arrive_late(spark, market, tmp_path):
+    source, target, offsets = stream_paths(tmp_path)
+    early = F.col(s.TIMESTAMP) < "2024-02-29"
+    raw.write_raw(market.where(~early), source)
+    bronze_flow.bronze_stream(spark, source, target, offsets)
+    before = set((tmp_path / "raw").rglob("*.parquet"))
+    raw.write_raw(market.where(early), source)
+    month_ago = time.time() - 30 * 86400
+    for path in set((tmp_path / "raw").rglob("*.parquet")) - before:
+        os.utime(path, (month_ago, month_ago))
+    bronze_flow.bronze_stream(spark, source, target, offsets)
+    assert bronze_flow.read_bronze(spark, target).count() == len(MARKET)
+
+
+def test_backlog_in_batches(spark, market, tmp_path):
+    source, target, offsets = stream_paths(tmp_path)
+    raw.write_raw(market, source)
+    query = bronze_flow.bronze_stream(spark, source, target, offsets, files_per_batch=1)
+    assert query.lastProgress["batchId"] >= 3
+    assert bronze_flow.read_bronze(spark, target).count() == len(MARKET)
+
+
 def test_stream_takes_up_a_new_column(spark, tmp_path):
     source, target, offsets = stream_paths(tmp_path)
     narrow = spark.createDataFrame([(1, "a")], "k int, v string")
@@ -232,6 +257,16 @@ def test_refresh_registers_tables(spark, tmp_path):
     spark.sql("DROP DATABASE marts CASCADE")
 
 
+def test_silver_by_day_leaves_other_days_unread(spark, market, tmp_path):
+    from tidemark.operators import reports
+
+    tables = refresh_tables(market, str(tmp_path / "t"), silver_by_day=True)
+    latest = reports.latest_prices(tables[s.SILVER_FACT])
+    assert [r.id_moeda for r in latest.collect()] == ["eth"]
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(data_referencia" in plan
+
+
 def test_refresh_matches_the_operators(spark, market, tmp_path):
     from tidemark.operators import gold
 

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from tidemark import schema as s
 from tidemark.functions import numbers
-from tidemark.operators import gold, placement, reports, silver
+from tidemark.operators import gold, ingest, placement, reports, silver
 from tidemark.plans.bindings import trade_observations
+from tidemark.sources import files, raw
 from tidemark.sources.files import store
 
 
@@ -82,6 +83,94 @@ def test_ranks_against_brute_force(spark, seed):
         assert got[g, v] == greater + 1
 
 
+# --- hot keys in joins and writes -----------------------------------------------
+
+
+@pytest.fixture
+def small_tasks(spark):
+    """Adaptive thresholds low enough for test data to count as skewed."""
+    given = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    for key, value in given.items():
+        spark.conf.set(key, value)
+    yield
+    for key in given:
+        spark.conf.unset(key)
+
+
+def hot_observations(spark):
+    """A third of the rows belong to one asset on one day."""
+    n = 60_000
+    hot = F.col("k") % 3 == 0
+    day = F.when(hot, 0).otherwise(F.col("k") % 29).cast("int")
+    return spark.range(0, n, 1, 8).select(F.col("id").alias("k")).select(
+        F.when(hot, "hot").otherwise(F.concat(F.lit("a"), F.col("k") % 997)).alias(s.ID),
+        F.timestamp_seconds(1704067200 + day * 86400 + F.col("k") % 86400).alias(s.TIMESTAMP),
+        F.rand(1).alias(s.PRICE),
+        F.rand(2).alias(s.MARKET_CAP),
+        F.rand(3).alias(s.TOTAL_VOLUME),
+    )
+
+
+def test_hot_asset_is_split_in_the_dimension_join(spark, small_tasks):
+    rows = hot_observations(spark)
+    dim = rows.select(s.ID, F.lit("s").alias(s.SYMBOL), F.col(s.ID).alias(s.NAME)).distinct()
+    joined = ingest.attach_dimension(rows, store(ingest.dimension(dim)))
+    assert len(joined.collect()) == 60_000
+    assert "skew=true" in plan_of(joined)
+
+
+def test_hot_value_is_split_in_the_rank_join(spark, small_tasks):
+    fact = skewed(spark, 60_000)
+    spread = gold.daily_ranking(fact, 20, day_rows_per_task=5000)
+    spread.collect()
+    assert "skew=true" in plan_of(spread)
+
+
+def test_hot_day_is_split_over_files(spark, small_tasks, tmp_path):
+    labels = (F.lit("s").alias(s.SYMBOL), F.col(s.ID).alias(s.NAME))
+    rows = hot_observations(spark).select("*", *labels).select(s.OBSERVATION_COLUMNS)
+    raw.write_raw(rows, str(tmp_path / "raw"))
+    days = (tmp_path / "raw" / "mes=2024-01").iterdir()
+    written = {day.name: len(list(day.glob("*.parquet"))) for day in days}
+    assert written["dt=2024-01-01"] > 3
+    assert raw.read_raw(spark, str(tmp_path / "raw")).count() == 60_000
+
+
+def test_shared_folder_comes_from_the_session(spark):
+    folder = spark.conf.get(files.CHECKPOINT_DIR)
+    assert files.work_path(spark, "x").startswith(folder.rstrip("/") + "/")
+
+
+class _Session:
+    """Just the parts of a session that `shared_dir` asks."""
+
+    def __init__(self, master):
+        self.conf = self.sparkContext = self
+        self.master, self.folder = master, None
+
+    def get(self, key, default=None):
+        return default
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+def test_own_folder_only_in_a_local_session():
+    local = _Session("local[2]")
+    assert files.shared_dir(local) == files.shared_dir(local) == local.folder
+    with pytest.raises(ValueError):
+        files.shared_dir(_Session("k8s://cluster"))
+
+
 # --- exact numbers ------------------------------------------------------------
 
 

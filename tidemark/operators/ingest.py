@@ -47,7 +47,9 @@ def attach_dimension(observations: DataFrame, dim: DataFrame) -> DataFrame:
 
     No broadcast is forced: the planner broadcasts the dimension while its measured
     size is under the session's threshold, and beyond that shuffles both sides, with
-    the adaptive planner splitting an asset that holds much of the rows.
+    the adaptive planner splitting an asset that holds much of the rows. Give a stored
+    dimension: its size is then known, and the splitting works only where the join
+    reads plain shuffles, not the output of an aggregate.
     """
     joined = observations.join(dim.select(s.ID, s.SYMBOL, s.NAME), s.ID)
     rest = [c for c in observations.columns if c != s.ID]

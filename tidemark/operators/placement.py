@@ -60,23 +60,34 @@ def spread_dense_ranks(
 ) -> DataFrame:
     """The same ranks without ever holding a group in one task.
 
-    The rank of a value is its place among the group's distinct values. Those are
-    deduplicated on the map side, sorted across the cluster by (group, value), and
-    joined back; the adaptive planner splits a value that very many rows share.
+    The rank of a value is its place among the group's distinct values. Those of all
+    measures are deduplicated on the map side, sorted across the cluster in one go, and
+    joined back; the adaptive planner splits a value that very many rows share. Meant
+    for the few groups `groups_over` finds: their starting places are broadcast.
     """
     columns = df.columns
+    tagged = F.array(
+        *[
+            F.struct(F.lit(rank).alias("_rank"), F.col(measure).alias("_value"))
+            for rank, measure in measures.items()
+        ]
+    )
+    values = df.select(F.col(group).alias("_group"), F.inline(tagged)).distinct()
+    placed = with_position(
+        values,
+        F.col("_rank"),
+        F.col("_group"),
+        F.col("_value").desc_nulls_last(),
+        name="_place",
+    )
+    keys = ["_rank", "_group"]
+    first = placed.groupBy(*keys).agg(F.min("_place").alias("_first"))
+    ranks = placed.join(F.broadcast(first), keys).select(
+        *keys, "_value", (F.col("_place") - F.col("_first") + 1).alias("_dense")
+    )
     for rank, measure in measures.items():
-        values = df.select(group, measure).distinct()
-        placed = with_position(
-            values, F.col(group), F.col(measure).desc_nulls_last(), name="_place"
-        )
-        first = placed.groupBy(group).agg(F.min("_place").alias("_first"))
-        ranks = placed.join(first, group).select(
-            F.col(group).alias("_group"),
-            F.col(measure).alias("_value"),
-            (F.col("_place") - F.col("_first") + 1).alias(rank),
-        )
+        of_rank = ranks.where(F.col("_rank") == rank).withColumnRenamed("_dense", rank)
         same_group = F.col(group) == F.col("_group")
         same_value = F.col(measure).eqNullSafe(F.col("_value"))
-        df = df.join(ranks, same_group & same_value).drop("_group", "_value")
+        df = df.join(of_rank, same_group & same_value).drop(*keys, "_value")
     return df.select(*columns, *measures)

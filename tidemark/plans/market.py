@@ -39,16 +39,26 @@ def refresh_tables(
     database: str | None = None,
     ranking_depth: int = s.RANKING_DEPTH,
     processed_at: dt.datetime | str | None = None,
+    silver_by_day: bool = False,
 ) -> dict[str, DataFrame]:
     """Recompute every table from observations (raw or bronze) and return them.
 
     Each layer is stored before the next reads it, so the fact is computed once for
-    its four readers. Those are independent jobs and run side by side.
+    its four readers. Those are independent jobs and run side by side. With
+    `silver_by_day` the silver tables are partitioned by day, so that reports on the
+    newest day and later refreshes of single days leave the other days unread.
     """
 
     def put(name: str, df: DataFrame, quality: str) -> DataFrame:
+        by_day = silver_by_day and quality == "silver"
         return publish(
-            df, root, name, database=database, comment=COMMENTS[name], quality=quality
+            df,
+            root,
+            name,
+            database=database,
+            comment=COMMENTS[name],
+            quality=quality,
+            partition_by=s.DAY if by_day else None,
         )
 
     daily = put(s.SILVER_DAILY, silver.daily_metrics(observations, processed_at), "silver")

@@ -135,7 +135,7 @@ def dim_lookup(spark: SparkSession, folder: str) -> DataFrame:
         F.concat(F.lit("S"), F.col("s_suppkey")).alias(s.SYMBOL),
         F.col("s_name").alias(s.NAME),
     )
-    return ingest.attach_dimension(lines, ingest.dimension(listing))
+    return ingest.attach_dimension(lines, store(ingest.dimension(listing), "dimension"))
 
 
 def universe_topn(spark: SparkSession, folder: str) -> DataFrame:

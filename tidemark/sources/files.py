@@ -16,12 +16,13 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local session without the setting gets a folder of its own; on a cluster
     a missing setting is an error, since executors do not share local disks.
     """
-    folder = spark.conf.get(CHECKPOINT_DIR, None)
+    context = spark.sparkContext
+    folder = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set(CHECKPOINT_DIR, folder)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
+        folder = context.getCheckpointDir()
     return folder.rstrip("/")
 
 

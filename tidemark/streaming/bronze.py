@@ -12,6 +12,9 @@ from tidemark import schema as s
 from tidemark.operators.bronze import to_bronze
 
 FILES = "*.parquet"
+# Files older than this against the newest one are skipped by the source; the built-in
+# week would lose files that were copied in with their old modification time.
+MAX_FILE_AGE = "3650d"
 
 
 def raw_stream(
@@ -25,7 +28,11 @@ def raw_stream(
     To take up a new column, restart with a wider schema and the same checkpoint;
     files written before it read as null there.
     """
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", FILES)
+    reader = (
+        spark.readStream.schema(schema)
+        .option("pathGlobFilter", FILES)
+        .option("maxFileAge", MAX_FILE_AGE)
+    )
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(source)
@@ -56,10 +63,15 @@ def bronze_stream(
     checkpoint: str,
     schema: T.StructType = s.RAW,
     ingested_at: dt.datetime | str | None = None,
+    files_per_batch: int | None = None,
 ) -> StreamingQuery:
-    """Load raw files not seen before into bronze and stop. Safe to run again: the
-    checkpoint records which files are in, the sink which batches are."""
-    raw = raw_stream(spark, source, schema)
+    """Load raw files not seen before into bronze and stop.
+
+    Safe to run again: the checkpoint records which files are in, the sink which
+    batches are. `files_per_batch` cuts a large backlog into batches, so that a failure
+    repeats one of them and not the whole load.
+    """
+    raw = raw_stream(spark, source, schema, files_per_batch)
     return append_stream(to_bronze(raw, ingested_at), target, checkpoint, s.LOAD_DAY)
 
 

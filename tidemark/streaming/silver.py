@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark import schema as s
 from tidemark.functions import calendar
 from tidemark.operators.silver import daily_fact
+from tidemark.streaming.bronze import MAX_FILE_AGE
 
 _ONE_DAY = dt.timedelta(days=1)
 
@@ -29,7 +30,7 @@ def rows_of_days(bronze: DataFrame, days: Iterable[dt.date]) -> DataFrame:
     under another clock zone, hence the margin.
     """
     days = sorted(days)
-    load_days = {day + shift for day in days for shift in (-_ONE_DAY, 0 * _ONE_DAY, _ONE_DAY)}
+    load_days = {near for day in days for near in (day - _ONE_DAY, day, day + _ONE_DAY)}
     names = sorted(day.isoformat() for day in load_days)
     return bronze.where(F.col(s.LOAD_DAY).isin(names)).where(
         calendar.day_of(bronze, s.TIMESTAMP).isin(days)
@@ -77,6 +78,7 @@ def silver_stream(
 
     query = (
         spark.readStream.schema(s.BRONZE)
+        .option("maxFileAge", MAX_FILE_AGE)
         .parquet(bronze_path)
         .writeStream.foreachBatch(rebuild)
         .option("checkpointLocation", checkpoint)
