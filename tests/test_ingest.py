@@ -157,6 +157,16 @@ def test_append_then_dedup_keeps_means(spark, market, tmp_path):
     assert row.preco_medio_usd == 105
 
 
+def test_whole_number_load_lies_beside_others(spark, market, tmp_path):
+    path = str(tmp_path / "raw")
+    whole = market.select(
+        *s.OBSERVATION_COLUMNS[:4], *[F.col(c).cast("bigint") for c in s.OBSERVATION_COLUMNS[4:]]
+    )
+    raw.write_raw(market, path)
+    raw.write_raw(whole, path)
+    assert raw.read_raw(spark, path).agg(F.sum(s.PRICE)).first()[0] == 413.015 + 413
+
+
 def test_replace_days_is_idempotent(spark, market, tmp_path):
     path = str(tmp_path / "raw")
     raw.write_raw(market, path)

@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark import schema as s
 from tidemark.functions import calendar, numbers
@@ -147,16 +146,15 @@ def universe_topn(spark: SparkSession, folder: str) -> DataFrame:
     return ingest.top_universe(listing)
 
 
-def _written_raw(spark: SparkSession, folder: str) -> tuple[str, T.StructType]:
+def _written_raw(spark: SparkSession, folder: str) -> str:
     path = work_path(spark, "raw")
-    rows = _events(spark, folder)
-    raw.write_raw(rows, path)
-    return path, raw.with_load_partitions(rows).schema
+    raw.write_raw(_events(spark, folder), path)
+    return path
 
 
 def ingest_high_water_mark(spark: SparkSession, folder: str) -> DataFrame:
-    path, kind = _written_raw(spark, folder)
-    return ingest.high_water_mark(raw.read_raw(spark, path, kind))
+    path = _written_raw(spark, folder)
+    return ingest.high_water_mark(raw.read_raw(spark, path))
 
 
 def ingest_plan(spark: SparkSession, folder: str) -> DataFrame:
@@ -175,8 +173,8 @@ def asset_batches(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def raw_partitioned_write(spark: SparkSession, folder: str) -> DataFrame:
-    path, kind = _written_raw(spark, folder)
-    back = raw.read_raw(spark, path, kind)
+    path = _written_raw(spark, folder)
+    back = raw.read_raw(spark, path)
     return back.groupBy(s.MONTH, s.LOAD_DAY).agg(
         F.count("*").alias("linhas"), numbers.exact_sum(s.PRICE).alias("soma_preco")
     )
@@ -184,10 +182,10 @@ def raw_partitioned_write(spark: SparkSession, folder: str) -> DataFrame:
 
 def raw_replace_days(spark: SparkSession, folder: str) -> DataFrame:
     """An overlapping second load that replaces its days leaves each row once."""
-    path, kind = _written_raw(spark, folder)
+    path = _written_raw(spark, folder)
     again = ingest.backfill_range(_events(spark, folder), OVERLAP_FROM[:10], "2024-12-31")
     raw.write_raw(again, path, mode="replace_days")
-    back = raw.read_raw(spark, path, kind)
+    back = raw.read_raw(spark, path)
     return back.groupBy(s.MONTH, s.LOAD_DAY).agg(
         F.count("*").alias("linhas"), numbers.exact_sum(s.PRICE).alias("soma_preco")
     )

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark import schema as s
 from tidemark.functions import calendar
@@ -21,15 +20,13 @@ def read_listing(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(s.LISTING).json(path)
 
 
-def read_raw(
-    spark: SparkSession, path: str, schema: T.StructType = s.RAW
-) -> DataFrame | None:
+def read_raw(spark: SparkSession, path: str) -> DataFrame | None:
     """Raw table with declared types, or None when nothing was ever written there.
 
     Only a missing path means "no data yet"; any other failure is raised.
     """
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(s.RAW).parquet(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
@@ -46,14 +43,16 @@ def with_load_partitions(df: DataFrame, timestamp: str = s.TIMESTAMP) -> DataFra
 def write_raw(df: DataFrame, path: str, mode: str = "append") -> bool:
     """Append observations to the raw table; returns False when there are none.
 
-    `mode="replace_days"` overwrites just the days present in `df`, which makes a
+    Columns take their declared types, so that loads of different origin (say, one
+    with whole numbers only) lie side by side. `mode="replace_days"` overwrites just the days present in `df`, which makes a
     repeated load idempotent. The rebalance step gathers each day into few files and
     lets the adaptive planner split a day that is too large for one task.
     """
     if df.isEmpty():
         return False
+    declared = df.select(*[F.col(f.name).cast(f.dataType) for f in s.OBSERVATION])
     writer = (
-        with_load_partitions(df)
+        with_load_partitions(declared)
         .hint("rebalance", s.LOAD_DAY)
         .write.partitionBy(s.MONTH, s.LOAD_DAY)
     )
