@@ -1,5 +1,6 @@
 """Skew, plan shape, and exactness under any partitioning."""
 
+import datetime as dt
 import random
 from decimal import ROUND_HALF_UP, Decimal
 
@@ -12,6 +13,7 @@ from tidemark import schema as s
 from tidemark.functions import numbers
 from tidemark.operators import gold, ingest, placement, reports, silver
 from tidemark.plans.bindings import trade_observations
+from tidemark.session import shuffle_partitions
 from tidemark.sources import files, raw
 from tidemark.sources.files import store
 
@@ -211,6 +213,76 @@ def test_percent_change(spark):
     assert got == [10.0, None, None, None]
 
 
+# --- brute force ----------------------------------------------------------------
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_gold_against_brute_force(spark, seed):
+    """Random facts with gaps, ties, nulls and zeros, against plain loops."""
+    rnd = random.Random(seed)
+    start = dt.date(2024, 2, 20)
+    rows = []
+    for day in range(20):
+        for asset in "abcdef":
+            if rnd.random() < 0.6:
+                values = [rnd.choice([None, 0.0, 1.5, 2.0, 40.0]) for _ in range(3)]
+                label = rnd.choice("xyz")
+                when = start + dt.timedelta(day)
+                rows.append((when, asset, label, label * 2, *values))
+    kinds = "date string string string double double double".split()
+    columns = ", ".join(f"{c} {k}" for c, k in zip(s.FACT_COLUMNS, kinds, strict=True))
+    fact = store(spark.createDataFrame(rows, columns))
+    price = {(r[0], r[1]): r[4] for r in rows}
+
+    for r in gold.change_d1(fact).collect():
+        then = price.get((r[s.DAY] - dt.timedelta(1), r[s.ASSET]))
+        assert r.preco_medio_ontem_usd == then
+        known = then is not None and r[s.MEAN_PRICE] is not None
+        assert r.variacao_abs_d1_usd == (r[s.MEAN_PRICE] - then if known else None)
+        assert (r.variacao_pct_d1 is None) == (not known or then == 0)
+
+    def largest(day, column):
+        of_day = [r for r in rows if r[0] == day]
+        return min(of_day, key=lambda r: (r[column] is None, -(r[column] or 0), r[1]))
+
+    for r in gold.market_summary(fact).collect():
+        prices = sorted(x[4] for x in rows if x[0] == r[s.DAY] and x[4] is not None)
+        middle = prices[(len(prices) - 1) // 2] if prices else None
+        assert r.preco_mediano_geral_usd == middle
+        assert r.qtd_moedas == sum(x[0] == r[s.DAY] for x in rows)
+        assert r.top_valor_mercado_id_moeda == largest(r[s.DAY], 5)[1]
+        assert r.top_volume_id_moeda == largest(r[s.DAY], 6)[1]
+        assert r.top_volume_usd == largest(r[s.DAY], 6)[6]
+
+    for r in gold.asset_summary(fact).collect():
+        own = sorted(x for x in rows if x[1] == r[s.ASSET])
+        assert (r.data_primeiro_dia, r.data_ultimo_dia) == (own[0][0], own[-1][0])
+        assert (r.preco_primeiro_dia_usd, r.preco_ultimo_dia_usd) == (own[0][4], own[-1][4])
+        assert r.valor_mercado_ultimo_dia_usd == own[-1][5]
+        assert r[s.LABEL] == max(x[2] for x in own)
+        known = [x[4] for x in own if x[4] is not None]
+        assert r.preco_max_historico_usd == (max(known) if known else None)
+
+    for limit in (10**6, 0):
+        ranked = gold.daily_ranking(fact, 2, day_rows_per_task=limit).collect()
+        got = {(r[s.DAY], r[s.ASSET]): (r.rank_valor_mercado, r.rank_volume) for r in ranked}
+        want = {}
+        for x in rows:
+            places = []
+            for column in (5, 6):
+                others = {y[column] for y in rows if y[0] == x[0]} - {None}
+                above = others if x[column] is None else {o for o in others if o > x[column]}
+                places.append(len(above) + 1)
+            if min(places) <= 2:
+                want[x[0], x[1]] = tuple(places)
+        assert got == want
+
+
+def test_shuffle_size():
+    assert shuffle_partitions(0, 200) == 200
+    assert shuffle_partitions(300 * 2**30, 200) == 2400
+
+
 # --- plan shape ---------------------------------------------------------------
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schema as s
-from tidemark.functions import calendar, numbers
+from tidemark.functions import numbers
 from tidemark.operators import bronze, gold, ingest, reports, silver
 from tidemark.plans.bindings import event_observations, table, trade_observations
 from tidemark.plans.market import refresh_tables
@@ -38,8 +38,10 @@ def _fact(spark: SparkSession, folder: str) -> DataFrame:
     return silver.daily_fact(trade_observations(spark, folder))
 
 
-def _summary(spark: SparkSession, folder: str) -> DataFrame:
-    return store(gold.asset_summary(_fact(spark, folder)), "summary")
+def _last_caps(spark: SparkSession, folder: str) -> DataFrame:
+    """What the share report reads of the asset summary; the rest is never computed."""
+    summary = gold.asset_summary(_fact(spark, folder))
+    return store(summary.select(s.ASSET, s.LABEL, s.TITLE, reports.LAST_CAP), "summary")
 
 
 def _raw_rows(spark: SparkSession, folder: str) -> DataFrame:
@@ -338,15 +340,16 @@ def report_top20(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def report_latest_price(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.latest_prices(store(silver.daily_fact(_events(spark, folder)), "fact"))
+    fact = silver.daily_fact(_events(spark, folder))
+    return reports.latest_prices(store(fact.drop(s.MEAN_CAP, s.MEAN_VOLUME), "fact"))
 
 
 def report_share(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.market_share(_summary(spark, folder))
+    return reports.market_share(_last_caps(spark, folder))
 
 
 def report_share_all(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.market_share(_summary(spark, folder), None)
+    return reports.market_share(_last_caps(spark, folder), None)
 
 
 def widget_price(spark: SparkSession, folder: str) -> DataFrame:

@@ -44,9 +44,10 @@ def write_raw(df: DataFrame, path: str, mode: str = "append") -> bool:
     """Append observations to the raw table; returns False when there are none.
 
     Columns take their declared types, so that loads of different origin (say, one
-    with whole numbers only) lie side by side. `mode="replace_days"` overwrites just the days present in `df`, which makes a
-    repeated load idempotent. The rebalance step gathers each day into few files and
-    lets the adaptive planner split a day that is too large for one task.
+    with whole numbers only) lie side by side. `mode="replace_days"` overwrites just the
+    days present in `df`, which makes a repeated load idempotent. The rebalance step
+    gathers each day into few files and lets the adaptive planner split a day that is
+    too large for one task.
     """
     if df.isEmpty():
         return False
