@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidemark import schema as s
-from tidemark.functions import numbers
+from tidemark.functions import exact, numbers
 from tidemark.operators import gold, ingest, placement, reports, silver
 from tidemark.plans.bindings import trade_observations
 from tidemark.session import shuffle_partitions
@@ -194,6 +194,54 @@ def test_mean_is_exact_in_any_layout(spark, values, parts):
     assert got == float(want)
 
 
+@st.composite
+def written_numbers(draw):
+    """Decimal numbers a double holds: at most fifteen digits, eight after the point."""
+    after = draw(st.integers(0, 8))
+    digits = draw(st.integers(0, 10 ** draw(st.integers(1, 15)) - 1))
+    return Decimal(digits * draw(st.sampled_from([1, -1]))).scaleb(-after)
+
+
+@settings(
+    max_examples=40, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(st.lists(written_numbers(), min_size=1, max_size=60), st.integers(1, 5))
+def test_split_sum_is_exact(spark, values, parts):
+    df = spark.createDataFrame([(float(v), str(v)) for v in values], "x double, t string")
+    split = exact.with_parts(df.repartition(parts), "x", "t")
+    got = split.agg(exact.sum_of_parts("x"), exact.sum_of_parts("t")).first()
+    assert got[0] == got[1] == sum(values)
+
+
+def test_split_sum_at_the_edges(spark):
+    cases = [0.0, -0.0, 1e-9, -1e-9, 0.99999999, -0.99999999, 2.0**53, -(2.0**53), 9.9e17, -9.9e17]
+    want = [0, 0, 0, 0, "0.99999999", "-0.99999999", 2**53, -(2**53), 99 * 10**16, -99 * 10**16]
+    df = spark.createDataFrame(list(enumerate(cases)), "k int, x double")
+    rows = exact.with_parts(df, "x").groupBy("k").agg(exact.sum_of_parts("x").alias("v"))
+    got = {r.k: r.v for r in rows.collect()}
+    assert [got[i] for i in range(len(cases))] == [Decimal(w) for w in want]
+
+
+def test_split_leaves_out_what_is_no_number(spark):
+    rows = [("NaN",), ("Infinity",), ("1e18",), ("abc",), ("",), (None,), ("-2.5",)]
+    df = exact.with_parts(spark.createDataFrame(rows, "x string"), "x")
+    got = df.agg(exact.sum_of_parts("x"), exact.mean_of_parts("x", 2), F.count("x")).first()
+    assert tuple(got) == (Decimal("-2.5"), -2.5, 1)
+    none = df.where("x is null").agg(exact.sum_of_parts("x"), exact.mean_of_parts("x", 2)).first()
+    assert tuple(none) == (None, None)
+
+
+def test_split_mean_equals_decimal_mean(spark):
+    rnd = random.Random(3)
+    rows = [(i % 40, round(rnd.uniform(-1, 1) * 10 ** rnd.randrange(14), 2)) for i in range(4000)]
+    df = spark.createDataFrame(rows, "g int, x double")
+    split = exact.with_parts(df, "x").groupBy("g")
+    for digits in (0, 2):
+        ours = split.agg(exact.mean_of_parts("x", digits).alias("m")).collect()
+        plain = df.groupBy("g").agg(numbers.exact_mean("x", digits).alias("m")).collect()
+        assert sorted(ours) == sorted(plain)
+
+
 def test_half_up(spark):
     cases = [(1.005, 1.01), (2.675, 2.68), (-1.005, -1.01), (0.125, 0.13), (1e12 + 0.5, 1e12 + 0.5)]
     df = spark.createDataFrame(cases, "x double, want double")

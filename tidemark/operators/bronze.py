@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import schema as s
-from tidemark.functions import calendar, numbers
+from tidemark.functions import calendar, exact
 
 
 def to_bronze(raw: DataFrame, ingested_at: dt.datetime | str | None = None) -> DataFrame:
@@ -26,8 +26,7 @@ def quality_report(bronze: DataFrame) -> DataFrame:
     bad_time = calendar.day_of(bronze, s.TIMESTAMP).isNull()
 
     def unreadable(column: str):
-        text = F.col(column)
-        return F.count_if(text.isNotNull() & numbers.measure(text).isNull())
+        return F.count_if(F.col(column).isNotNull() & exact.readable(column).isNull())
 
     return bronze.agg(
         F.count("*").alias("linhas"),

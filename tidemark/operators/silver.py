@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark import schema as s
-from tidemark.functions import calendar, numbers
+from tidemark.functions import calendar, exact
 
 
 def daily_metrics(
@@ -27,15 +27,17 @@ def daily_metrics(
         F.col(s.SYMBOL).alias(s.LABEL),
         F.col(s.NAME).alias(s.TITLE),
         calendar.instant_of(observations, s.TIMESTAMP).alias("_seen"),
-        # converted once here, so that sum and count need not each convert again
-        *[numbers.measure(c).alias(c) for c in (s.PRICE, s.MARKET_CAP, s.TOTAL_VOLUME)],
+        s.PRICE,
+        s.MARKET_CAP,
+        s.TOTAL_VOLUME,
     ).where(F.col(s.DAY).isNotNull())
     return (
-        dated.groupBy(s.DAY, s.ASSET, s.LABEL, s.TITLE)
+        exact.with_parts(dated, s.PRICE, s.MARKET_CAP, s.TOTAL_VOLUME)
+        .groupBy(s.DAY, s.ASSET, s.LABEL, s.TITLE)
         .agg(
-            numbers.exact_mean(s.PRICE, s.PRICE_DIGITS).alias(s.MEAN_PRICE),
-            numbers.exact_mean(s.MARKET_CAP, s.MONEY_DIGITS).alias(s.MEAN_CAP),
-            numbers.exact_mean(s.TOTAL_VOLUME, s.MONEY_DIGITS).alias(s.MEAN_VOLUME),
+            exact.mean_of_parts(s.PRICE, s.PRICE_DIGITS).alias(s.MEAN_PRICE),
+            exact.mean_of_parts(s.MARKET_CAP, s.MONEY_DIGITS).alias(s.MEAN_CAP),
+            exact.mean_of_parts(s.TOTAL_VOLUME, s.MONEY_DIGITS).alias(s.MEAN_VOLUME),
             F.max("_seen").alias(s.LAST_SEEN),
         )
         .withColumn(s.PROCESSED_AT, calendar.processing_time(processed_at))

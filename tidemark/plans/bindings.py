@@ -13,9 +13,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def _product(left: Column, right: Column) -> Column:
-    """Exact two-digit product as a double, the same in every engine."""
-    exact = left.cast("decimal(18,2)") * right.cast("decimal(18,2)")
-    return exact.cast("decimal(36,4)").cast("double")
+    """Product of two numbers of two digits each, exact, as a double."""
+
+    def hundredths(value: Column) -> Column:
+        return F.floor(value * 100 + 0.5)
+
+    return hundredths(left) * hundredths(right) / F.lit(10_000.0)
 
 
 def trade_observations(spark: SparkSession, folder: str) -> DataFrame:
