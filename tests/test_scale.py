@@ -352,12 +352,13 @@ def test_silver_scan_is_pruned(spark, sf_dir):
         (gold.change_d1, 1),
         (gold.market_summary, 1),
         (gold.first_last_day, 1),
-        (gold.asset_summary, 1),
+        # the second one moves a row per asset and label
+        (gold.asset_summary, 2),
         (gold.daily_ranking, 1),
         (silver.latest_version, 1),
     ],
 )
-def test_one_shuffle_and_no_join(fact, build, shuffles):
+def test_few_shuffles_and_no_join(fact, build, shuffles):
     if build is silver.latest_version:
         fact = fact.withColumn(s.LAST_SEEN, F.col(s.DAY))
     plan = plan_of(build(fact))
@@ -365,6 +366,12 @@ def test_one_shuffle_and_no_join(fact, build, shuffles):
     assert "Join" not in plan and "SinglePartition" not in plan
 
 
+def test_asset_history_is_hashed_not_sorted(fact):
+    plan = plan_of(gold.asset_summary(fact))
+    scan_side = plan[plan.rindex("Exchange hashpartitioning") :]
+    assert "HashAggregate" in scan_side and "Sort" not in scan_side
+
+
 def test_version_choice_prunes_before_the_shuffle(fact):
     plan = plan_of(silver.latest_version(fact.withColumn(s.LAST_SEEN, F.col(s.DAY))))
     assert "row_number(), 1, Partial" in plan

@@ -123,24 +123,48 @@ def first_last_day(fact: DataFrame) -> DataFrame:
 def asset_summary(fact: DataFrame) -> DataFrame:
     """History of each asset with its values on its own first and last day.
 
-    After a rename the alphabetically greatest symbol and name are shown.
+    After a rename the alphabetically greatest symbol and name are shown. The days are
+    folded per asset and label first: with the texts as keys, all aggregated values are
+    numbers and dates, which Spark hashes in place, while a greatest text per asset
+    would have it sort the fact. The second step sees one row per asset and label.
     """
     mean_cap = "valor_mercado_medio_historico_usd"
     mean_volume = "volume_medio_historico_usd"
     last_cap = "valor_mercado_ultimo_dia_usd"
     last_volume = "volume_ultimo_dia_usd"
-    history = fact.groupBy(s.ASSET).agg(
+    measures = (s.MEAN_PRICE, s.MEAN_CAP, s.MEAN_VOLUME)
+    first, last = "data_primeiro_dia", "data_ultimo_dia"
+    exact = fact.withColumns({f"{m}_exato": numbers.measure(m) for m in measures})
+    labelled = exact.groupBy(s.ASSET, s.LABEL, s.TITLE).agg(
+        F.min(s.DAY).alias(first),
+        F.max(s.DAY).alias(last),
+        F.count("*").alias("dias"),
+        *[F.sum(f"{m}_exato").alias(f"{m}_soma") for m in measures],
+        *[F.count(f"{m}_exato").alias(f"{m}_dias") for m in measures],
+        F.min(s.MEAN_PRICE).alias("menor"),
+        F.max(s.MEAN_PRICE).alias("maior"),
+        *_ends(),
+    )
+
+    def mean(m: str, digits: int):
+        days = F.nullif(F.sum(f"{m}_dias"), F.lit(0))
+        return numbers.half_up(F.sum(f"{m}_soma").cast("double") / days, digits)
+
+    history = labelled.groupBy(s.ASSET).agg(
         F.max(s.LABEL).alias(s.LABEL),
         F.max(s.TITLE).alias(s.TITLE),
-        F.min(s.DAY).alias("data_primeiro_dia"),
-        F.max(s.DAY).alias("data_ultimo_dia"),
-        F.count("*").alias("qtd_dias_com_dados"),
-        numbers.exact_mean(s.MEAN_PRICE, s.PRICE_DIGITS).alias("preco_medio_historico_usd"),
-        numbers.half_up(F.min(s.MEAN_PRICE), s.PRICE_DIGITS).alias("preco_min_historico_usd"),
-        numbers.half_up(F.max(s.MEAN_PRICE), s.PRICE_DIGITS).alias("preco_max_historico_usd"),
-        numbers.exact_mean(s.MEAN_CAP, s.MONEY_DIGITS).alias(mean_cap),
-        numbers.exact_mean(s.MEAN_VOLUME, s.MONEY_DIGITS).alias(mean_volume),
-        *_ends(),
+        F.min(first).alias(first),
+        F.max(last).alias(last),
+        F.sum("dias").alias("qtd_dias_com_dados"),
+        mean(s.MEAN_PRICE, s.PRICE_DIGITS).alias("preco_medio_historico_usd"),
+        numbers.half_up(F.min("menor"), s.PRICE_DIGITS).alias("preco_min_historico_usd"),
+        numbers.half_up(F.max("maior"), s.PRICE_DIGITS).alias("preco_max_historico_usd"),
+        mean(s.MEAN_CAP, s.MONEY_DIGITS).alias(mean_cap),
+        mean(s.MEAN_VOLUME, s.MONEY_DIGITS).alias(mean_volume),
+        ordering.earliest("preco_primeiro_dia_usd", first).alias("preco_primeiro_dia_usd"),
+        ordering.newest("preco_ultimo_dia_usd", last).alias("preco_ultimo_dia_usd"),
+        ordering.newest(last_cap, last).alias(last_cap),
+        ordering.newest(last_volume, last).alias(last_volume),
     )
     total_change = numbers.percent_change(
         F.col("preco_ultimo_dia_usd"), F.col("preco_primeiro_dia_usd"), s.PRICE_DIGITS
