@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schema as s
 from tidemark.operators import ingest, silver
+from tidemark.plans import ingestion
 from tidemark.sources import raw
 
 
@@ -75,6 +76,43 @@ def test_landed_payload_to_raw_table(spark, tmp_path):
     )
 
 
+def test_broken_payload_line_stops_the_load(spark, tmp_path):
+    (tmp_path / "landing").mkdir()
+    (tmp_path / "landing" / "part.json").write_text('{"coin": "a", "prices": [[1, 2]]}\n{"coin": ')
+    rows = ingest.flatten_payload(raw.read_payloads(spark, str(tmp_path / "landing")))
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        rows.collect()
+
+
+def test_daily_load(spark, tmp_path):
+    day = 86_400_000
+    start = 1764028800000  # 2025-11-25
+    times = [start + i * day + 1000 for i in range(6)]
+    series = [[t, 1.0] for t in times]
+    landed = [
+        {"coin": c, "prices": series, "market_caps": series, "total_volumes": series}
+        for c in ("big", "small")
+    ]
+    payloads = raw.read_payloads(spark, land(tmp_path / "landing", *landed))
+    assets = [
+        {"id": "big", "symbol": "b", "name": "Big", "market_cap": 9},
+        {"id": "small", "symbol": "s", "name": "Small", "market_cap": 1},
+    ]
+    listing = raw.read_listing(spark, land(tmp_path / "listing", *assets))
+    path = str(tmp_path / "raw")
+
+    def run(as_of, universe=50):
+        wrote = ingestion.daily_load(spark, payloads, listing, path, as_of, universe=universe)
+        rows = raw.read_raw(spark, path).select(s.ID, F.dayofmonth(s.LOAD_DAY)).collect()
+        return wrote, sorted(tuple(r) for r in rows)
+
+    first = [("big", 26), ("small", 26)]
+    assert run("2025-11-28") == (True, first)
+    assert run("2025-11-28") == (False, first)
+    more = [("big", 26), ("big", 27), ("big", 28), ("small", 26)]
+    assert run("2025-11-30", universe=1) == (True, more)
+
+
 def test_universe(spark):
     rows = [(f"a{i:02}", "s", "n", float(i % 7) if i else None) for i in range(60)]
     top = ingest.top_universe(spark.createDataFrame(rows, s.LISTING)).collect()

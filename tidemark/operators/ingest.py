@@ -69,24 +69,34 @@ def high_water_mark(raw: DataFrame, column: str = s.LOAD_DAY) -> DataFrame:
     return raw.agg(F.max(column).alias("ultima_data"))
 
 
+def load_window(
+    mark: DataFrame | dt.date | str | None,
+    as_of: dt.date | str | None = None,
+    lag_days: int = s.LAG_DAYS,
+) -> tuple[Column, Column]:
+    """First and last day to load; the first lies after the last when nothing is due.
+
+    The last is `as_of` minus the lag, so that days are complete when loaded. The first
+    follows the mark, or is the last day itself when there is no mark. The mark may be
+    given as a day or as the one-row result of `high_water_mark`.
+    """
+    last = F.date_sub(calendar.day_literal(as_of), lag_days)
+    marked = mark.scalar() if isinstance(mark, DataFrame) else F.lit(mark).cast("date")
+    return F.coalesce(F.date_add(marked, 1), last), last
+
+
 def ingest_plan(
     universe: DataFrame,
     mark: DataFrame | dt.date | str | None,
     as_of: dt.date | str | None = None,
     lag_days: int = s.LAG_DAYS,
 ) -> DataFrame:
-    """(id, dt, from, to) requests that bring raw up to `as_of` minus the lag.
+    """(id, dt, from, to) requests for every asset and day of the load window.
 
-    Starts on the day after the mark, or on the last allowed day when there is no
-    mark; empty when the mark is already there. Each asset row expands into its own
-    days, so the assets are neither moved nor paired with a second table.
+    Each asset row expands into its own days, so the assets are neither moved nor
+    paired with a second table.
     """
-    last = F.date_sub(calendar.day_literal(as_of), lag_days)
-    if isinstance(mark, DataFrame):
-        marked = mark.scalar()
-    else:
-        marked = F.lit(mark).cast("date")
-    first = F.coalesce(F.date_add(marked, 1), last)
+    first, last = load_window(mark, as_of, lag_days)
     # sequence() counts down when its end lies before its start
     days = F.when(first <= last, F.sequence(first, last))
     start, end = calendar.epoch_bounds(s.LOAD_DAY)

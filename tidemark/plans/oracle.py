@@ -268,6 +268,27 @@ FROM (SELECT DISTINCT id FROM obs) u,
     (SELECT CAST(MAX(CAST("timestamp" AS DATE)) + 1 AS TIMESTAMP) FROM obs),
     CAST(CAST('{AS_OF}' AS DATE) - 2 AS TIMESTAMP), INTERVAL 1 DAY) g(d)"""
 
+_SAMPLES = """samples AS (
+  SELECT CAST(user_id AS VARCHAR) AS id, 'U' || CAST(user_id AS VARCHAR) AS symbol,
+    'user ' || CAST(user_id AS VARCHAR) AS name, EPOCH_US(ts) // 1000 AS ts_ms,
+    value AS current_price, value * 2 AS market_cap,
+    CAST(event_id % 50 AS DOUBLE) AS total_volume
+  FROM events)"""
+
+_LARGEST = f"""largest AS (
+  SELECT CAST(user_id AS VARCHAR) AS id FROM events GROUP BY 1
+  ORDER BY {_sum("value")} DESC, 1 LIMIT 50)"""
+
+
+def _samples_between(first: str, last: str) -> str:
+    return _with(
+        _SAMPLES,
+        _LARGEST,
+        then=f"""SELECT * FROM samples WHERE id IN (SELECT id FROM largest)
+  AND ts_ms >= EPOCH_MS(TIMESTAMP '{first}') AND ts_ms <= EPOCH_MS(TIMESTAMP '{last}')""",
+    )
+
+
 _QUALITY = """SELECT COUNT(*) AS linhas,
   COUNT(*) FILTER (TRY_CAST("timestamp" AS TIMESTAMP) IS NULL) AS timestamp_rejeitado,
   COUNT(*) FILTER (current_price IS NOT NULL
@@ -285,6 +306,9 @@ ORACLE: dict[str, str] = {
     "payload_flatten": """SELECT CAST(user_id AS VARCHAR) AS id, EPOCH_US(ts) // 1000 AS ts_ms,
   value AS current_price, value * 2 AS market_cap,
   CAST(event_id % 50 AS DOUBLE) AS total_volume FROM events""",
+    "ingest_backfill": _samples_between(*BACKFILL),
+    # the first run loads its last complete day, the others what follows it
+    "ingest_daily": _samples_between("2024-01-05 00:00:00", "2024-01-18 23:59:59.999"),
     "dim_lookup": """SELECT CAST(l_suppkey AS VARCHAR) AS id,
   'S' || CAST(l_suppkey AS VARCHAR) AS symbol, s_name AS name, l_shipdate AS "timestamp",
   l_extendedprice AS current_price, l_orderkey, l_linenumber

@@ -11,6 +11,7 @@ from tidemark import schema as s
 from tidemark.functions import numbers
 from tidemark.operators import bronze, gold, ingest, reports, silver
 from tidemark.plans.bindings import event_observations, table, trade_observations
+from tidemark.plans.ingestion import backfill_load, daily_load
 from tidemark.plans.market import refresh_tables
 from tidemark.sources import raw
 from tidemark.sources.files import store, work_path
@@ -24,6 +25,7 @@ DEPTH = 5
 AS_OF = "2024-02-05"
 LATE_FROM, LATE_TO = "2024-01-10", "2024-01-12"
 OVERLAP_FROM = "2024-01-20 12:00:00"
+DAILY_RUNS = ("2024-01-07", "2024-01-19", "2024-01-20", "2024-01-20")
 BACKFILL = ("2024-01-08 06:00:00", "2024-01-19 18:30:00")
 
 
@@ -85,8 +87,8 @@ def _without_clock(df: DataFrame) -> DataFrame:
 # --- raw ----------------------------------------------------------------------
 
 
-def payload_flatten(spark: SparkSession, folder: str) -> DataFrame:
-    """Events folded into range responses, landed as JSON, read back and flattened.
+def _land_payloads(spark: SparkSession, folder: str) -> DataFrame:
+    """Events folded into range responses, landed as JSON and read back.
 
     A response holds one user's events of one block of 256 event ids, so no user's
     whole history is ever gathered into a row.
@@ -112,15 +114,51 @@ def payload_flatten(spark: SparkSession, folder: str) -> DataFrame:
     )
     landing = work_path(spark, "payloads")
     folded.write.json(landing)
-    flat = ingest.flatten_payload(raw.read_payloads(spark, landing))
-    # the instant as a number: no clock zone takes part in the comparison
-    return flat.select(
-        s.ID,
-        F.unix_millis(s.TIMESTAMP).alias("ts_ms"),
-        s.PRICE,
-        s.MARKET_CAP,
-        s.TOTAL_VOLUME,
+    return raw.read_payloads(spark, landing)
+
+
+def _land_listing(spark: SparkSession, folder: str) -> DataFrame:
+    """Users as listed assets, the sum of their event values as market cap."""
+    key = F.col("user_id").cast("string")
+    landing = work_path(spark, "listing")
+    (
+        table(spark, folder, "events")
+        .groupBy(
+            key.alias(s.ID),
+            F.concat(F.lit("U"), key).alias(s.SYMBOL),
+            F.concat(F.lit("user "), key).alias(s.NAME),
+        )
+        .agg(numbers.exact_sum("value").alias(s.MARKET_CAP))
+        .write.json(landing)
     )
+    return raw.read_listing(spark, landing)
+
+
+def _by_instant(rows: DataFrame) -> DataFrame:
+    """Time as a number: no clock zone takes part in the comparison."""
+    others = [c for c in rows.columns if c != s.TIMESTAMP]
+    return rows.select(*others, F.unix_millis(s.TIMESTAMP).alias("ts_ms"))
+
+
+def payload_flatten(spark: SparkSession, folder: str) -> DataFrame:
+    return _by_instant(ingest.flatten_payload(_land_payloads(spark, folder)))
+
+
+def ingest_backfill(spark: SparkSession, folder: str) -> DataFrame:
+    """The samples of the largest assets between two instants, landed JSON to raw."""
+    path = work_path(spark, "raw")
+    landed = _land_payloads(spark, folder), _land_listing(spark, folder)
+    backfill_load(*landed, path, *BACKFILL)
+    return _by_instant(raw.read_raw(spark, path).select(s.OBSERVATION_COLUMNS))
+
+
+def ingest_daily(spark: SparkSession, folder: str) -> DataFrame:
+    """A first load, the days that follow it, and a run that finds nothing due."""
+    path = work_path(spark, "raw")
+    landed = _land_payloads(spark, folder), _land_listing(spark, folder)
+    for as_of in DAILY_RUNS:
+        daily_load(spark, *landed, path, as_of)
+    return _by_instant(raw.read_raw(spark, path).select(s.OBSERVATION_COLUMNS))
 
 
 def dim_lookup(spark: SparkSession, folder: str) -> DataFrame:
@@ -402,6 +440,8 @@ QUERIES: dict[str, Query] = {
     for query in (
         flagship,
         payload_flatten,
+        ingest_backfill,
+        ingest_daily,
         dim_lookup,
         universe_topn,
         ingest_high_water_mark,

@@ -11,13 +11,16 @@ from tidemark.functions import calendar
 
 
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:
-    """Landed range responses, one JSON object per line; absent keys read as null."""
-    return spark.read.schema(s.PAYLOAD).json(path)
+    """Landed range responses, one JSON object per line; absent keys read as null.
+
+    A line that is no such object stops the load: skipping it would lose samples.
+    """
+    return spark.read.schema(s.PAYLOAD).option("mode", "FAILFAST").json(path)
 
 
 def read_listing(spark: SparkSession, path: str) -> DataFrame:
     """Landed asset listing, one JSON object per line."""
-    return spark.read.schema(s.LISTING).json(path)
+    return spark.read.schema(s.LISTING).option("mode", "FAILFAST").json(path)
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame | None:
