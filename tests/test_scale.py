@@ -63,6 +63,15 @@ def test_hot_day_is_ranked_exactly(spark):
     )
 
 
+@pytest.mark.parametrize("depth", [1, 3, 10**9])
+def test_ranks_within_a_depth(spark, depth):
+    fact = skewed(spark, 3000)
+    every = placement.spread_dense_ranks(fact, s.DAY, gold.RANKS)
+    cut = placement.spread_dense_ranks(fact, s.DAY, gold.RANKS, depth)
+    first = F.least(*gold.RANKS) <= depth
+    assert sorted(map(repr, cut.collect())) == sorted(map(repr, every.where(first).collect()))
+
+
 def test_hot_day_never_reaches_a_window(spark):
     fact = skewed(spark)
     every_day = placement.spread_dense_ranks(fact, s.DAY, gold.RANKS)
@@ -128,8 +137,8 @@ def test_hot_asset_is_split_in_the_dimension_join(spark, small_tasks):
 
 
 def test_hot_value_is_split_in_the_rank_join(spark, small_tasks):
-    fact = skewed(spark, 60_000)
-    spread = gold.daily_ranking(fact, 20, day_rows_per_task=5000)
+    spread = placement.spread_dense_ranks(skewed(spark, 60_000), s.DAY, gold.RANKS)
+    assert spread.count() == 60_000
     spread.collect()
     assert "skew=true" in plan_of(spread)
 

@@ -30,10 +30,10 @@ def daily_ranking(
 ) -> DataFrame:
     """Assets within the first `n` places of their day by any measure, ties kept.
 
-    A kept row shows its true place by every measure, so all of a day's values count
-    and no row can be dropped beforehand. Day sizes are checked first (one pass over
-    the day column; give a stored fact): small days share one window shuffle, larger
-    ones are ranked from their distinct values spread over the cluster.
+    A kept row shows its true place by every measure, so all of a day's values count.
+    Day sizes are checked first (one pass over the day column; give a stored fact):
+    small days share one window shuffle, larger ones are ranked from their distinct
+    values spread over the cluster.
     """
     ranks = ranks or RANKS
     columns = [c for c in fact.columns if c != s.PROCESSED_AT]
@@ -42,7 +42,7 @@ def daily_ranking(
     if large:
         in_large = F.col(s.DAY).isin(large)
         ranked = placement.window_dense_ranks(fact.where(~in_large), s.DAY, ranks)
-        spread = placement.spread_dense_ranks(fact.where(in_large), s.DAY, ranks)
+        spread = placement.spread_dense_ranks(fact.where(in_large), s.DAY, ranks, n)
         ranked = ranked.unionByName(spread)
     else:
         ranked = placement.window_dense_ranks(fact, s.DAY, ranks)

@@ -56,16 +56,33 @@ def window_dense_ranks(
 
 
 def spread_dense_ranks(
-    df: DataFrame, group: str, measures: dict[str, str]
+    df: DataFrame, group: str, measures: dict[str, str], within: int | None = None
 ) -> DataFrame:
     """The same ranks without ever holding a group in one task.
 
     The rank of a value is its place among the group's distinct values. Those of all
     measures are deduplicated on the map side, sorted across the cluster in one go, and
     joined back; the adaptive planner splits a value that very many rows share. Meant
-    for the few groups `groups_over` finds: their starting places are broadcast.
+    for the few groups `groups_over` finds: one row for each of them and measure is
+    broadcast.
+
+    With `within`, rows beyond that place by every measure are left out. They are told
+    by comparing values, before anything but the distinct values has been shuffled.
     """
     columns = df.columns
+    ranks = _value_ranks(df, group, measures)
+    if within is not None:
+        df = _rows_within(df, ranks, group, measures, within)
+    for rank, measure in measures.items():
+        of_rank = ranks.where(F.col("_rank") == rank).withColumnRenamed("_dense", rank)
+        same_group = F.col(group) == F.col("_group")
+        same_value = F.col(measure).eqNullSafe(F.col("_value"))
+        df = df.join(of_rank, same_group & same_value).drop("_rank", "_group", "_value")
+    return df.select(*columns, *measures)
+
+
+def _value_ranks(df: DataFrame, group: str, measures: dict[str, str]) -> DataFrame:
+    """(_rank, _group, _value, _dense): every distinct value's place in its group."""
     tagged = F.array(
         *[
             F.struct(F.lit(rank).alias("_rank"), F.col(measure).alias("_value"))
@@ -82,12 +99,30 @@ def spread_dense_ranks(
     )
     keys = ["_rank", "_group"]
     first = placed.groupBy(*keys).agg(F.min("_place").alias("_first"))
-    ranks = placed.join(F.broadcast(first), keys).select(
+    return placed.join(F.broadcast(first), keys).select(
         *keys, "_value", (F.col("_place") - F.col("_first") + 1).alias("_dense")
     )
-    for rank, measure in measures.items():
-        of_rank = ranks.where(F.col("_rank") == rank).withColumnRenamed("_dense", rank)
-        same_group = F.col(group) == F.col("_group")
-        same_value = F.col(measure).eqNullSafe(F.col("_value"))
-        df = df.join(of_rank, same_group & same_value).drop(*keys, "_value")
-    return df.select(*columns, *measures)
+
+
+def _rows_within(
+    df: DataFrame, ranks: DataFrame, group: str, measures: dict[str, str], depth: int
+) -> DataFrame:
+    """Rows whose value is among the group's `depth` first by at least one measure."""
+    columns = df.columns
+    cuts = (
+        ranks.where(F.col("_dense") <= depth)
+        .groupBy("_rank", "_group")
+        .agg(F.min("_value").alias("_low"), F.bool_or(F.col("_value").isNull()).alias("_null"))
+    )
+    kept = F.lit(False)
+    for i, (rank, measure) in enumerate(measures.items()):
+        cut = cuts.where(F.col("_rank") == rank).select(
+            F.col("_group").alias(group),
+            F.col("_low").alias(f"_low{i}"),
+            F.col("_null").alias(f"_null{i}"),
+        )
+        df = df.join(F.broadcast(cut), group)
+        reached = F.col(measure) >= F.col(f"_low{i}")
+        missing = F.col(measure).isNull() & F.col(f"_null{i}")
+        kept = kept | F.coalesce(reached, F.lit(False)) | missing
+    return df.where(kept).select(columns)
