@@ -134,8 +134,8 @@ def asset_summary(fact: DataFrame) -> DataFrame:
     last_volume = "volume_ultimo_dia_usd"
     measures = (s.MEAN_PRICE, s.MEAN_CAP, s.MEAN_VOLUME)
     first, last = "data_primeiro_dia", "data_ultimo_dia"
-    exact = fact.withColumns({f"{m}_exato": numbers.measure(m) for m in measures})
-    labelled = exact.groupBy(s.ASSET, s.LABEL, s.TITLE).agg(
+    summable = fact.withColumns({f"{m}_exato": numbers.measure(m) for m in measures})
+    labelled = summable.groupBy(s.ASSET, s.LABEL, s.TITLE).agg(
         F.min(s.DAY).alias(first),
         F.max(s.DAY).alias(last),
         F.count("*").alias("dias"),

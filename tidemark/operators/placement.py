@@ -41,8 +41,8 @@ def with_position(df: DataFrame, *order: Column, name: str = "posicao") -> DataF
 
 def groups_over(df: DataFrame, key: str, rows: int) -> list:
     """Keys with more than `rows` rows; at most (row count / rows) of them exist."""
-    sizes = df.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > rows)
-    return [row[0] for row in sizes.select(key).collect()]
+    sizes = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
+    return [row[0] for row in sizes.where(F.col("n") > rows).select(key).collect()]
 
 
 def window_dense_ranks(
