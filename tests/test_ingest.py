@@ -228,6 +228,21 @@ def test_backfill_reads_matching_days_only(spark, market, tmp_path):
     assert "dt#" in plan.split("PartitionFilters: [")[1].split("]")[0]
 
 
+def test_backfill_finds_rows_written_under_another_zone(spark, market, tmp_path):
+    path = str(tmp_path / "raw")
+    market.cache().count()
+    spark.conf.set("spark.sql.session.timeZone", "Pacific/Kiritimati")
+    try:
+        raw.write_raw(market, path)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    rows = ingest.backfill_range(
+        raw.read_raw(spark, path), "2024-02-28 12:00:00", "2024-02-29 12:00:00"
+    )
+    assert rows.where(F.to_date(s.TIMESTAMP) != F.col(s.LOAD_DAY)).count() > 0
+    assert rows.count() == 5
+
+
 def test_batches(spark):
     universe = spark.createDataFrame([(f"a{i:02}",) for i in range(23)], "id string")
     rows = ingest.asset_batches(universe.repartition(5)).collect()

@@ -108,13 +108,15 @@ def ingest_plan(
 def backfill_range(observations: DataFrame, start, end) -> DataFrame:
     """Observations between two instants, both included.
 
-    On the raw table the matching days are named too, so other partitions are not read.
+    On the raw table the matching load days are named too, so other partitions are not
+    read; a day of margin allows for raw written under another clock zone.
     """
     kind = observations.schema[s.TIMESTAMP].dataType
     low, high = F.lit(start).cast(kind), F.lit(end).cast(kind)
     inside = F.col(s.TIMESTAMP).between(low, high)
     if s.LOAD_DAY in observations.columns:
-        inside &= F.col(s.LOAD_DAY).between(low.cast("date"), high.cast("date"))
+        near = F.date_sub(low.cast("date"), 1), F.date_add(high.cast("date"), 1)
+        inside &= F.col(s.LOAD_DAY).between(*near)
     return observations.where(inside)
 
 
