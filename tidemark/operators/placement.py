@@ -108,21 +108,17 @@ def _rows_within(
     df: DataFrame, ranks: DataFrame, group: str, measures: dict[str, str], depth: int
 ) -> DataFrame:
     """Rows whose value is among the group's `depth` first by at least one measure."""
-    columns = df.columns
+    kept, bounds = F.lit(False), []
+    for i, (rank, measure) in enumerate(measures.items()):
+        low, null = f"_low{i}", f"_null{i}"
+        of_rank, value = F.col("_rank") == rank, F.col("_value")
+        bounds.append(F.min(F.when(of_rank, value)).alias(low))
+        bounds.append(F.bool_or(of_rank & value.isNull()).alias(null))
+        reached = F.coalesce(F.col(measure) >= F.col(low), F.lit(False))
+        kept = kept | reached | (F.col(measure).isNull() & F.col(null))
     cuts = (
         ranks.where(F.col("_dense") <= depth)
-        .groupBy("_rank", "_group")
-        .agg(F.min("_value").alias("_low"), F.bool_or(F.col("_value").isNull()).alias("_null"))
+        .groupBy(F.col("_group").alias(group))
+        .agg(*bounds)
     )
-    kept = F.lit(False)
-    for i, (rank, measure) in enumerate(measures.items()):
-        cut = cuts.where(F.col("_rank") == rank).select(
-            F.col("_group").alias(group),
-            F.col("_low").alias(f"_low{i}"),
-            F.col("_null").alias(f"_null{i}"),
-        )
-        df = df.join(F.broadcast(cut), group)
-        reached = F.col(measure) >= F.col(f"_low{i}")
-        missing = F.col(measure).isNull() & F.col(f"_null{i}")
-        kept = kept | F.coalesce(reached, F.lit(False)) | missing
-    return df.where(kept).select(columns)
+    return df.join(F.broadcast(cuts), group).where(kept).select(df.columns)
