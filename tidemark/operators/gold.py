@@ -82,7 +82,7 @@ def market_summary(fact: DataFrame, accuracy: int = 10_000) -> DataFrame:
     """Per day: asset count, totals, means, approximate median and the two leaders.
 
     One aggregate over one scan. Every part combines before the shuffle, the leaders
-    included, so no join and no per-day sort is needed.
+    included, so no join and no window over a whole day is needed.
     """
     median = F.percentile_approx(s.MEAN_PRICE, 0.5, accuracy)
     return (
