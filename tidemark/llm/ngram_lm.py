@@ -78,6 +78,17 @@ def grams(hashes: np.ndarray, first: np.ndarray, order: int):
         yield at, arrays.mix(key + _SALT[n])
 
 
+def _numbered(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct values, and the number of each value among them, in little memory."""
+    order = np.argsort(values).astype(np.int32)
+    values = values[order]
+    fresh = np.ones(len(values), bool)
+    np.not_equal(values[1:], values[:-1], out=fresh[1:])
+    number = np.empty(len(values), np.int32)
+    number[order] = np.cumsum(fresh, dtype=np.int32) - np.int32(1)
+    return values[fresh], number
+
+
 class Asked:
     """The n-grams of a block of texts, as its tasks ask for them and read them."""
 
@@ -93,11 +104,12 @@ class Asked:
         learned = np.repeat(learn, np.diff(self.first))
         self.places, self.keys, self.inverse, self.own = [], [], [], []
         for at, key in grams(self.hashes, self.first, order):
-            key, inverse = np.unique(key, return_inverse=True)
+            at = at.astype(np.int32)
+            key, inverse = _numbered(key)
             self.places.append(at)
             self.keys.append(key)
             self.inverse.append(inverse)
-            self.own.append(np.bincount(inverse[learned[at]], minlength=len(key)))
+            self.own.append(np.bincount(inverse[learned[at]], minlength=len(key)).astype(np.int32))
 
     def requests(self, buckets: int):
         """For each bucket: the hashes of each order, and their counts in this block."""
@@ -120,9 +132,9 @@ def summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray
     """Total count of each key over all blocks, and the totals in each block's order."""
     if not keys:
         return np.zeros(0, np.int64), []
-    every, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-    total = np.zeros(len(every), np.int64)
-    np.add.at(total, inverse, np.concatenate(counts))
+    every, inverse = _numbered(np.concatenate(keys))
+    # exact while a total stays below 2^53
+    total = np.bincount(inverse, np.concatenate(counts), len(every)).astype(np.int64)
     ends = np.cumsum([0, *map(len, keys)])
     return total, [total[inverse[a:b]] for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
@@ -137,7 +149,7 @@ class Automaton:
         n = len(asked.hashes)
         # word of every token, by the 1-gram it is; the leading end is the trailing one
         words = len(asked.keys[0])
-        word = np.zeros(n, np.int64)
+        word = np.zeros(n, np.int32)
         word[asked.places[0]] = asked.inverse[0]
         word[asked.first[:-1]] = word[asked.first[1:] - 1]
         self.word, self.words = word, words
@@ -146,7 +158,7 @@ class Automaton:
         state_of = []
         for k in range(order - 1):
             seen = counts[k] > 0
-            place = np.where(seen, states + np.cumsum(seen) - 1, 0)
+            place = np.where(seen, states + np.cumsum(seen) - 1, 0)  # 0: the root
             base.append(states)
             state_of.append(place)
             states += int(seen.sum())
@@ -156,14 +168,14 @@ class Automaton:
         with np.errstate(divide="ignore"):
             self.root = np.log10(chance)
         self.root_target = state_of[0] if order > 1 else np.zeros(words, np.int64)
-        at_gram = [np.full(n, -1) for _ in range(order)]  # n-gram that ends at each place
+        at_gram = [np.full(n, -1, np.int32) for _ in range(order)]  # n-gram that ends at each place
         for k in range(order):
             at_gram[k][asked.places[k]] = asked.inverse[k]
         at_gram[0][asked.first[:-1]] = word[asked.first[:-1]]
         arcs, weights, targets = [np.zeros(0, np.int64)], [np.zeros(0)], [np.zeros(0, np.int64)]
         last = [chance]
         for k in range(1, order):
-            one = np.zeros(len(asked.keys[k]), np.int64)  # a place where each n-gram ends
+            one = np.zeros(len(asked.keys[k]), np.int32)  # a place where each n-gram ends
             one[asked.inverse[k]] = asked.places[k]
             history = at_gram[k - 1][one - 1]
             shorter = at_gram[k - 1][one]
@@ -311,7 +323,8 @@ def score_texts(
             F.col(text_column).alias("text"),
             F.coalesce(learn, F.lit(False)).alias("learn"),
         )
-        .repartition(blocks, "block")
+        # more partitions than blocks, so that few tasks get two
+        .repartition(4 * blocks, "block")
     )
 
     def ask(table: pa.Table) -> pa.Table:
@@ -357,6 +370,7 @@ def score_texts(
         rows = answers.sort_by("bucket").to_pylist()
         totals = {k: sum(r[k] for r in rows) for k in ("tokens", "types", "once")}
         counts = [np.concatenate([_large(r["counts"][k]) for r in rows]) for k in range(order)]
+        del rows
         n, known, base = base_scores(asked, counts[0], totals)
         score = Automaton(asked, counts, totals, prior).read(asked.first, order)
         return pa.Table.from_arrays(
