@@ -14,8 +14,9 @@ on. Each prefix links its classes to one of them, not all to all, and the connec
 components of those links are the candidate clusters. A cluster's sets meet in one task,
 or, for a large cluster, in one task per pair of chunks, where the sizes of all
 intersections come from one product of matrices; every pair of classes in a cluster is
-verified, whichever prefix brought it there. A task returns the number of links of each
-class and a spanning forest of the links, never the pairs.
+verified, whichever prefix brought it there. A task returns, for each class, the number of
+its links and the group they put it in, never the pairs; groups that span several tasks
+are connected afterwards.
 
 Words are runs of ASCII letters, digits and characters beyond ASCII, with A-Z lowered. A
 text of fewer than five words, but not none, has one shingle of all its words.
@@ -131,18 +132,16 @@ def links(sets: list[np.ndarray], similarity: float) -> np.ndarray:
     return out
 
 
-def forest(linked: np.ndarray) -> list[tuple[int, int]]:
-    """Edges that connect what is linked: a spanning forest."""
-    left, out = set(range(len(linked))), []
-    while left:
-        todo = [left.pop()]
+def roots(linked: np.ndarray) -> list[int]:
+    """The first member of the group that each row is linked into."""
+    out = [-1] * len(linked)
+    for first in range(len(linked)):
+        todo = [first] if out[first] < 0 else []
         while todo:
             a = todo.pop()
-            for b in np.flatnonzero(linked[a]).tolist():
-                if b in left:
-                    left.discard(b)
-                    out.append((a, b))
-                    todo.append(b)
+            if out[a] < 0:
+                out[a] = first
+                todo += [b for b in np.flatnonzero(linked[a]).tolist() if out[b] < 0]
     return out
 
 
@@ -223,31 +222,26 @@ def near_duplicates(
     with an equal shingle set, itself included) of every row."""
     depth = forest_depth(similarity, recall)
     rows = store(_classes(docs, id_column, text_column, size, depth), "near-dups")
-    first = F.min(F.struct(F.col("id").isNull(), "id", "text_hash"))
+    # equal sets have equal paths, so any row of a class stands for it
     classes = store(
         rows.where("key is not null")
         .groupBy("key")
-        .agg(F.count(F.lit(1)).alias("weight"), first.alias("first"), F.max("size").alias("size"))
-        .select("key", "weight", "first.id", "first.text_hash", "size"),
-        "near-dups",
-    )
-    # one row per class again: the paths of its first row
-    own = classes.select("key", "id", "text_hash")
-    paths = rows.where("key is not null").select("id", "text_hash", F.col("key").alias("k"), "paths")
-    met = (
-        paths.join(
-            own,
-            (F.col("k") == F.col("key"))
-            & paths["id"].eqNullSafe(own["id"])
-            & (paths["text_hash"] == own["text_hash"]),
+        .agg(
+            F.count(F.lit(1)).alias("weight"),
+            F.min(F.struct(F.col("id").isNull(), "id", "text_hash")).alias("first"),
+            F.first("size").alias("size"),
+            F.first("paths").alias("paths"),
         )
-        .select("key", F.explode("paths").alias("path"))
+        .select("key", "weight", "first.id", "first.text_hash", "size", "paths"),
+        "near-dups",
     )
+    met = classes.select("key", F.explode("paths").alias("path"))
     least = met.groupBy("path").agg(F.min("key").alias("b"), F.max("key").alias("c")).where("b != c")
-    edges = met.join(least, "path").where("key != b").select(F.col("key").alias("a"), "b").distinct()
-    members = components(edges)
+    members = components(met.join(least, "path").select(F.col("key").alias("a"), "b"))
 
-    inside = members.select(F.col("node").alias("key"), F.col("root").alias("cluster")).join(classes, "key")
+    inside = members.select(F.col("node").alias("key"), F.col("root").alias("cluster")).join(
+        classes.drop("paths"), "key"
+    )
     sizes = inside.groupBy("cluster").agg(
         F.greatest(
             F.ceil(F.count(F.lit(1)) / CHUNK_TEXTS), F.ceil(F.sum("size") / CHUNK_SHINGLES), F.lit(1)
@@ -256,11 +250,17 @@ def near_duplicates(
     wanted = inside.join(sizes, "cluster").select("cluster", "key", "weight", "chunks", "id", "text_hash")
     verified = store(_verified(_cluster_sets(docs, wanted, id_column, text_column, size), similarity), "near-dups")
 
-    counted = verified.where("b is null").groupBy(F.col("a").alias("key")).agg(F.sum("links").alias("links"))
-    groups = components(verified.where("b is not null").select("a", "b"))
+    linked = verified.groupBy(F.col("a").alias("key")).agg(
+        F.sum("links").alias("links"), F.min("b").alias("root")
+    )
+    # within one task a group's root is known; groups over several tasks are connected here
+    across = verified.where("parts > 1 and a != b")
+    if not across.isEmpty():
+        joined = components(across.select("a", "b")).select(F.col("node").alias("key"), F.col("root").alias("top"))
+        linked = linked.join(joined, "key", "left").withColumn("root", F.coalesce("top", "root"))
     placed = (
-        classes.join(counted, "key", "left")
-        .join(groups.withColumnRenamed("node", "key"), "key", "left")
+        classes.select("key", "weight", "id")
+        .join(linked, "key", "left")
         .select("key", "weight", "id", "links", F.coalesce("root", "key").alias("root"))
     )
     ids = placed.groupBy("root").agg(F.min("id").alias("class_id"))
@@ -281,16 +281,17 @@ def near_duplicates(
 
 
 def _verified(sets: DataFrame, similarity: float) -> DataFrame:
-    """Links of each class within one task (a, null, links), and a forest of them (a, b)."""
+    """For each class `a` and task: its links there, and `b`, the smallest class it is
+    connected to by links within the task; `parts` is the number of chunks of its cluster."""
     chunk = F.pmod(F.xxhash64("key"), F.col("chunks"))
     pairs = (
         sets.withColumn("chunk", chunk)
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)))
         .withColumn("low", F.least("chunk", "other"))
         .withColumn("high", F.greatest("chunk", "other"))
-        .select("cluster", "low", "high", "chunk", "key", "weight", "shingles")
+        .select("cluster", "low", "high", "chunk", "chunks", "key", "weight", "shingles")
     )
-    schema = "a binary, b binary, links long"
+    schema = "a binary, b binary, links long, parts long"
 
     def verify(keys, table):
         rows = {r["key"]: r for r in table.sort_by("key").to_pylist()}
@@ -301,12 +302,15 @@ def _verified(sets: DataFrame, similarity: float) -> DataFrame:
             found &= side[:, None] != side[None, :]
         weight = np.array([r["weight"] for r in rows])
         total = (found * weight[None, :]).sum(1)
-        joined = forest(found)
-        some = np.flatnonzero(total)
-        a = [rows[i]["key"] for i in some] + [rows[i]["key"] for i, _ in joined]
-        b = [None] * len(some) + [rows[j]["key"] for _, j in joined]
-        n = total[some].tolist() + [0] * len(joined)
-        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary()), "links": pa.array(n, pa.int64())})
+        names = [r["key"] for r in rows]
+        return pa.table(
+            {
+                "a": pa.array(names, pa.binary()),
+                "b": pa.array([names[i] for i in roots(found)], pa.binary()),
+                "links": pa.array(total.astype(np.int64)),
+                "parts": pa.array([r["chunks"] for r in rows], pa.int64()),
+            }
+        )
 
     return pairs.groupBy("cluster", "low", "high").applyInArrow(verify, schema)
 
