@@ -8,9 +8,10 @@ on another host. DataFrame functions only.
 Each page gives each of its distinct lines once, so the counts combine before the
 shuffle and a line on a third of all pages is one row per task. A host has at most
 (distinct lines per page / ratio) boilerplate lines, as each takes more than `ratio` of
-the host's pages, so the list that is joined back is small for a host of any size; the
-planner broadcasts the lists if all hosts' together are small enough, else both sides
-shuffle and the adaptive planner splits a hot host. Lines are counted by 96 bits of two
+the host's pages, so the list that is joined back is small for a host of any size. The
+lists are written to the shared folder and counted: up to BROADCAST_LINES of all hosts
+together they are broadcast and no text is shuffled; beyond that both sides shuffle and
+the adaptive planner splits a hot host. Lines are counted by 96 bits of two
 hashes; nothing but these and the host is shuffled.
 
 A line is what stands between line feeds, with blanks, tabs and carriage returns trimmed
@@ -27,8 +28,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.sources.files import store
+
 RATIO = 0.1
 MIN_PAGES = 5
+BROADCAST_LINES = 500_000  # of 12 bytes each
 
 
 def _key(line: Column) -> Column:
@@ -61,11 +65,21 @@ def boilerplate(
 
 
 def drop_boilerplate(
-    docs: DataFrame, host: str = "source", text: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES
+    docs: DataFrame,
+    host: str = "source",
+    text: str = "text",
+    ratio: float = RATIO,
+    min_pages: int = MIN_PAGES,
+    broadcast_lines: int = BROADCAST_LINES,
 ) -> DataFrame:
     """`row` (a struct of all columns), `text` without boilerplate lines, `n_lines` of the
     text as given and `n_dropped`, of every row."""
-    found = boilerplate(docs, host, text, ratio, min_pages).select(F.col("host").alias("of"), "lines")
+    found = store(
+        boilerplate(docs, host, text, ratio, min_pages).select(F.col("host").alias("of"), "lines"), "lines"
+    )
+    held = found.agg(F.sum(F.size("lines"))).first()[0] or 0
+    if held <= broadcast_lines:
+        found = F.broadcast(found)
     rows = docs.select(
         F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[host].alias("host"), docs[text].alias("whole")
     )
