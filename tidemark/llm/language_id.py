@@ -121,11 +121,15 @@ def sample(
         F.col(text_column).alias("text"),
         F.xxhash64(text_column).alias("hash"),
     ).where(F.col("label").isNotNull() & F.col("text").rlike(r"\p{L}") & (F.octet_length("text") <= SAMPLE_BYTES))
-    # the ids of the sample first, then its texts: the window moves hashes only
+    # Of each label, the rows of the least hashes: as many as give twice the sample on
+    # average, so what is then put in order is bounded for a label of any size.
+    counts = known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "label").limit(rows)
+    share = F.pmod("hash", F.lit(1 << 20)) * F.col("n") < F.lit(2 * rows * (1 << 20))
     chosen = (
         known.select("label", "hash")
+        .join(F.broadcast(counts), "label")
+        .where(share)
         .withColumn("turn", F.row_number().over(order))
-        .where(F.col("turn") <= rows)
         .orderBy("turn", "label")
         .limit(rows)
         .select("label", "hash")
