@@ -37,7 +37,7 @@ BUCKETS = 1 << 17
 SIZES = (3, 4, 5)
 DIMENSION = 8
 WORDS, STRIDE = 16, 8
-SAMPLE_ROWS = 2000
+SAMPLE_ROWS = 1200
 SAMPLE_BYTES = 1 << 15
 ROUNDS, RANDOM_ROUNDS = 24, 4
 BATCH = 64
