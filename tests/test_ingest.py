@@ -221,7 +221,7 @@ def test_backfill_reads_matching_days_only(spark, market, tmp_path):
     path = str(tmp_path / "raw")
     raw.write_raw(market, path)
     rows = ingest.backfill_range(
-        raw.read_raw(spark, path), "2024-02-28 12:00:00", "2024-02-29 12:00:00"
+        raw.read_raw(spark, path), "2024-02-28 12:00:00", "2024-02-29 12:00:00", load_day_margin=1
     )
     assert rows.count() == 5
     plan = rows._jdf.queryExecution().executedPlan().toString()

@@ -74,16 +74,17 @@ def test_bad_text_is_left_out_and_counted(spark, ansi):
     }
 
 
-def test_days_off_the_calendar_are_unreadable(spark):
+def test_days_far_off_count_like_others(spark):
     rows = texts(
         spark,
         ("2024-01-01 10:00:00", "2"),
         ("20240-01-01 10:00:00", "100"),
         ("0001-01-01 10:00:00", "100"),
     )
-    assert silver_flow.touched_days(rows) == [dt.date(2024, 1, 1)]
-    assert [r.preco_medio_usd for r in silver.daily_fact(rows).collect()] == [2]
-    assert bronze.quality_report(rows).first().timestamp_rejeitado == 2
+    assert sorted(silver_flow.touched_days(rows)) == ["+20240-01-01", "0001-01-01", "2024-01-01"]
+    fact = silver.daily_fact(rows).select("preco_medio_usd").collect()
+    assert sorted(r.preco_medio_usd for r in fact) == [2, 100, 100]
+    assert bronze.quality_report(rows).first().timestamp_rejeitado == 0
 
 
 def test_day_without_readable_measure_keeps_a_null_row(spark):
@@ -288,3 +289,25 @@ def test_refresh_matches_the_operators(spark, market, tmp_path):
     same(tables[s.GOLD_ASSET], gold.asset_summary(fact))
     same(tables[s.GOLD_CHANGE], gold.change_d1(fact))
     same(tables[s.GOLD_RANKING], gold.daily_ranking(fact))
+
+
+def test_rows_far_from_their_load_day_are_refreshed(spark, tmp_path):
+    rows = [("a", "s", "n", "2024-01-05 10:00:00", p, "1", "1", d) for p, d in (("2", "2024-01-05"), ("4", "2024-01-12"))]
+    bronze_rows = spark.createDataFrame(rows, TEXT)
+    days = silver_flow.touched_days(bronze_rows.where("dt = '2024-01-12'"))
+    silver_flow.refresh_touched(bronze_rows, str(tmp_path / "silver"), days)
+    got = silver_flow.read_silver(spark, str(tmp_path / "silver")).collect()
+    assert [r.preco_medio_usd for r in got] == [3.0]
+
+
+def test_stream_takes_files_of_any_age(spark, market, tmp_path):
+    source, target, mark = (str(tmp_path / name) for name in ("raw", "bronze", "mark"))
+    for part in (market.limit(4), market.subtract(market.limit(4))):
+        raw.write_raw(part.coalesce(1), source)
+        if part.count() and os.path.isdir(target):
+            for folder, _, names in os.walk(source):
+                for name in names:
+                    if name.endswith(".parquet"):
+                        os.utime(os.path.join(folder, name), (0, 0))
+        bronze_flow.bronze_stream(spark, source, target, mark)
+    assert bronze_flow.read_bronze(spark, target).count() == market.count()

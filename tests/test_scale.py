@@ -231,11 +231,11 @@ def test_split_sum_at_the_edges(spark):
     assert [got[i] for i in range(len(cases))] == [Decimal(w) for w in want]
 
 
-def test_split_leaves_out_what_is_no_number(spark):
+def test_split_leaves_out_only_what_is_no_number(spark):
     rows = [("NaN",), ("Infinity",), ("1e18",), ("abc",), ("",), (None,), ("-2.5",)]
     df = exact.with_parts(spark.createDataFrame(rows, "x string"), "x")
     got = df.agg(exact.sum_of_parts("x"), exact.mean_of_parts("x", 2), F.count("x")).first()
-    assert tuple(got) == (Decimal("-2.5"), -2.5, 1)
+    assert tuple(got) == (Decimal("-2.5"), 5e17, 2)
     none = df.where("x is null").agg(exact.sum_of_parts("x"), exact.mean_of_parts("x", 2)).first()
     assert tuple(none) == (None, None)
 
@@ -263,6 +263,17 @@ def test_unreadable_numbers_become_null(spark):
     assert df.agg(numbers.exact_mean("x", 2), numbers.exact_sum("x")).first() == (2.0, 2.0)
 
 
+def test_large_numbers_count(spark):
+    df = spark.createDataFrame([(1e25,), (1e18,), (3.0,), (-4.0,)], "x double")
+    assert df.agg(numbers.exact_mean("x", 2), numbers.exact_sum("x", 0)).first() == (
+        pytest.approx(2.50000025e24),
+        pytest.approx(1.0000001e25),
+    )
+    split = exact.with_parts(df, "x").agg(exact.mean_of_parts("x", 0)).first()[0]
+    assert split == pytest.approx(2.50000025e24)
+    assert df.select(numbers.half_up(F.lit(1e29), 2)).first()[0] == 1e29
+
+
 def test_percent_change(spark):
     rows = [(110.0, 100.0), (5.0, 0.0), (None, 1.0), (1.0, None)]
     df = spark.createDataFrame(rows, "a double, b double")

@@ -1,4 +1,5 @@
-"""Calendar expressions. None of them reads the machine's local clock zone."""
+"""Calendar expressions. Days of instants, and today, follow the session's clock zone, which
+`session.build_session` sets; in a session started otherwise it is the machine's."""
 
 from __future__ import annotations
 
@@ -10,16 +11,10 @@ from pyspark.sql import types as T
 
 SECONDS_PER_DAY = 86400
 
-# days with a neighbour on either side in a year of four digits; text naming any other
-# day is taken as unreadable
-FIRST_DAY, LAST_DAY = dt.date(1000, 1, 2), dt.date(9999, 12, 30)
-
-
 def day_of(df: DataFrame, column: str) -> Column:
     """Day of an instant. Text keeps the day it spells; unreadable text gives null."""
     if isinstance(df.schema[column].dataType, T.StringType):
-        day = F.col(column).try_cast("date")
-        return F.when(day.between(FIRST_DAY, LAST_DAY), day)
+        return F.col(column).try_cast("date")
     return F.to_date(column)
 
 

@@ -6,6 +6,9 @@ No sum can overflow below 2^43 rows in a group, none depends on row order or on
 partial results merge, and the work stays in generated code at close to the cost of a
 plain double sum. Decimals come in once per group, when the five sums are put together.
 
+Numbers of 10^18 and more are summed beside the parts as doubles. A fraction is read to
+eight digits, so what is below half of 10^-8 counts as zero.
+
 The fraction is read to as many decimal digits, at most eight, as a double of that size
 holds. That recovers the decimal number the double was written as.
 """
@@ -17,9 +20,9 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.numbers import half_up
+from tidemark.functions.numbers import combined, finite, half_up
 
-# numbers of this size and more count as unreadable, like text that is no number
+# numbers of this size and more have no fraction and are summed as plain doubles
 LIMIT = 1e18
 
 FRACTION_DIGITS = 8
@@ -32,8 +35,7 @@ _PARTS = 5
 
 def readable(column: str) -> Column:
     """Number or text as a double; null for NaN, infinity, and text that is no number."""
-    value = F.col(column).try_cast("double")
-    return F.when(F.abs(value) < LIMIT, value)
+    return finite(column)
 
 
 def with_parts(df: DataFrame, *columns: str) -> DataFrame:
@@ -42,10 +44,14 @@ def with_parts(df: DataFrame, *columns: str) -> DataFrame:
     Done in steps, so that what several later expressions use is computed once.
     """
     df = df.withColumns({c: F.col(c).try_cast("double") for c in columns})
-    df = df.withColumns({c: F.when(F.abs(c) < LIMIT, F.col(c)) for c in columns})
+    df = df.withColumns({c: readable(c) for c in columns})
+    df = df.withColumns(
+        {f"{c}_small": F.when(F.abs(c) < LIMIT, F.col(c)) for c in columns}
+        | {_large(c): F.when(F.abs(c) >= LIMIT, F.col(c)) for c in columns}
+    )
     df = df.withColumns(
-        {f"{c}_whole": F.floor(c) for c in columns}
-        | {f"{c}_held": _units_held(F.col(c)) for c in columns}
+        {f"{c}_whole": F.floor(f"{c}_small") for c in columns}
+        | {f"{c}_held": _units_held(F.col(f"{c}_small")) for c in columns}
     )
     df = df.withColumns({f"{c}_units": _units(c) for c in columns})
     parts = {}
@@ -59,12 +65,12 @@ def with_parts(df: DataFrame, *columns: str) -> DataFrame:
             F.shiftright(units, _FRACTION_BITS),
         )
         parts |= {_part(c, i): value for i, value in enumerate(values)}
-    steps = [f"{c}_{step}" for c in columns for step in ("whole", "held", "units")]
+    steps = [f"{c}_{step}" for c in columns for step in ("small", "whole", "held", "units")]
     return df.withColumns(parts).drop(*steps)
 
 
 def sum_of_parts(column: str) -> Column:
-    """Exact sum of a split column as DECIMAL(38,8)."""
+    """Exact sum as DECIMAL(38,8) of what is below LIMIT in a split column."""
     low, middle, high, units, more_units = (F.sum(_part(column, i)) for i in range(_PARTS))
     whole = _times(high, 1 << 2 * _WHOLE_BITS) + _times(middle, 1 << _WHOLE_BITS)
     fraction = _times(more_units, 1 << _FRACTION_BITS) + _times(units, 1)
@@ -78,7 +84,7 @@ def sum_of_parts(column: str) -> Column:
 def mean_of_parts(column: str, digits: int) -> Column:
     """ROUND(AVG(column), digits) of a split column, nulls ignored."""
     size = F.nullif(F.count(column), F.lit(0))
-    return half_up(sum_of_parts(column).cast("double") / size, digits)
+    return half_up(combined(sum_of_parts(column), F.sum(_large(column))) / size, digits)
 
 
 def _units_held(value: Column) -> Column:
@@ -110,5 +116,9 @@ def _times(total: Column, factor: int) -> Column:
     return wide * F.lit(str(factor)).cast(f"decimal({len(str(factor))},0)")
 
 
+def _large(column: str) -> str:
+    return f"{column}_large"
+
+
 def _part(column: str, i: int) -> str:
     return f"{column}_part{i}"

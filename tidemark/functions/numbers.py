@@ -1,7 +1,8 @@
 """Number expressions whose results do not depend on row order or partitioning.
 
 Sums run over DECIMAL(28,8): exact, so partial sums merge to the same total in any
-order. Rounding goes through DECIMAL(38,10), which makes it HALF_UP of the decimal
+order, and to eight fraction digits. Numbers the type has no room for (10^20 and more) are
+summed beside it as doubles, which is exact to a double's own precision. Rounding goes through DECIMAL(38,10), which makes it HALF_UP of the decimal
 value rather than of its binary neighbour.
 """
 
@@ -14,29 +15,53 @@ MEASURE_TYPE = "decimal(28,8)"
 ROUNDING_TYPE = "decimal(38,10)"
 
 
+def finite(column: str | Column) -> Column:
+    """Number or text as a double; null for NaN, infinity, and text that is no number."""
+    value = _column(column).try_cast("double")
+    return F.when(F.abs(value) < float("inf"), value)
+
+
 def measure(column: str | Column) -> Column:
-    """Number or text as an exact decimal; text that is no number, NaN and infinity
-    become null instead of failing the job."""
+    """Number or text as an exact decimal; null where the type has no room for it (see
+    `oversized`), and for text that is no number, NaN and infinity."""
     return _column(column).try_cast(MEASURE_TYPE)
 
 
+def oversized(column: str | Column) -> Column:
+    """Finite numbers that `measure` has no room for. They have no fraction, and their
+    sums are those of doubles."""
+    return F.when(measure(column).isNull(), finite(column))
+
+
+def combined(exact: Column, large: Column) -> Column:
+    """Total as a double of an exact sum and the sum of what is oversized; both may be
+    null."""
+    whole = exact.cast("double")
+    return F.when(large.isNull(), whole).otherwise(F.coalesce(whole, F.lit(0.0)) + large)
+
+
 def half_up(value: str | Column, digits: int) -> Column:
-    """ROUND(value, digits) as a double, ties away from zero."""
-    exact = _column(value).try_cast(ROUNDING_TYPE)
-    return F.round(exact, digits).cast("double")
+    """ROUND(value, digits) as a double, ties away from zero; null for NaN and infinity.
+    Beyond the decimal's room a double is a whole number and stays as it is."""
+    given = _column(value)
+    rounded = F.round(given.try_cast(ROUNDING_TYPE), digits).cast("double")
+    return F.coalesce(rounded, finite(given))
 
 
 def exact_mean(column: str | Column, digits: int) -> Column:
     """ROUND(AVG(column), digits), nulls ignored."""
-    value = measure(column)
-    size = F.nullif(F.count(value), F.lit(0))
-    return half_up(F.sum(value).cast("double") / size, digits)
+    size = F.nullif(F.count(finite(column)), F.lit(0))
+    return half_up(combined(F.sum(measure(column)), F.sum(oversized(column))) / size, digits)
 
 
 def exact_sum(column: str | Column, digits: int | None = None) -> Column:
     """SUM(column), optionally rounded."""
-    total = F.sum(measure(column))
-    return (total if digits is None else F.round(total, digits)).cast("double")
+    exact, large = F.sum(measure(column)), F.sum(oversized(column))
+    if digits is None:
+        return combined(exact, large)
+    return F.when(large.isNull(), F.round(exact, digits).cast("double")).otherwise(
+        half_up(combined(exact, large), digits)
+    )
 
 
 def ratio(part: Column, whole: Column) -> Column:

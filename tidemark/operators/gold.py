@@ -40,7 +40,8 @@ def daily_ranking(
     fact = fact.select(*columns)
     large = placement.groups_over(fact, s.DAY, day_rows_per_task)
     if large:
-        in_large = F.col(s.DAY).isin(large)
+        # rows without a day are one small or large group like others, never dropped
+        in_large = F.coalesce(F.col(s.DAY).isin(large), F.lit(False))
         ranked = placement.window_dense_ranks(fact.where(~in_large), s.DAY, ranks)
         spread = placement.spread_dense_ranks(fact.where(in_large), s.DAY, ranks, n)
         ranked = ranked.unionByName(spread)
@@ -134,13 +135,20 @@ def asset_summary(fact: DataFrame) -> DataFrame:
     last_volume = "volume_ultimo_dia_usd"
     measures = (s.MEAN_PRICE, s.MEAN_CAP, s.MEAN_VOLUME)
     first, last = "data_primeiro_dia", "data_ultimo_dia"
-    summable = fact.withColumns({f"{m}_exato": numbers.measure(m) for m in measures})
+    summable = fact.withColumns(
+        {f"{m}_exato": numbers.measure(m) for m in measures}
+        | {f"{m}_grande": numbers.oversized(m) for m in measures}
+    )
     labelled = summable.groupBy(s.ASSET, s.LABEL, s.TITLE).agg(
         F.min(s.DAY).alias(first),
         F.max(s.DAY).alias(last),
         F.count("*").alias("dias"),
         *[F.sum(f"{m}_exato").alias(f"{m}_soma") for m in measures],
-        *[F.count(f"{m}_exato").alias(f"{m}_dias") for m in measures],
+        *[F.sum(f"{m}_grande").alias(f"{m}_soma_grande") for m in measures],
+        *[
+            F.count(F.coalesce(F.col(f"{m}_exato").cast("double"), F.col(f"{m}_grande"))).alias(f"{m}_dias")
+            for m in measures
+        ],
         F.min(s.MEAN_PRICE).alias("menor"),
         F.max(s.MEAN_PRICE).alias("maior"),
         *_ends(),
@@ -148,7 +156,8 @@ def asset_summary(fact: DataFrame) -> DataFrame:
 
     def mean(m: str, digits: int):
         days = F.nullif(F.sum(f"{m}_dias"), F.lit(0))
-        return numbers.half_up(F.sum(f"{m}_soma").cast("double") / days, digits)
+        total = numbers.combined(F.sum(f"{m}_soma"), F.sum(f"{m}_soma_grande"))
+        return numbers.half_up(total / days, digits)
 
     history = labelled.groupBy(s.ASSET).agg(
         F.max(s.LABEL).alias(s.LABEL),

@@ -105,17 +105,23 @@ def ingest_plan(
     )
 
 
-def backfill_range(observations: DataFrame, start, end) -> DataFrame:
+def backfill_range(
+    observations: DataFrame, start, end, load_day_margin: int | None = None
+) -> DataFrame:
     """Observations between two instants, both included.
 
-    On the raw table the matching load days are named too, so other partitions are not
-    read; a day of margin allows for raw written under another clock zone.
+    On a raw table whose load days are known to lie within `load_day_margin` days of the
+    instants (one, for tables this package wrote, allows for other clock zones) the
+    matching partitions are named too, so that others are not read.
     """
     kind = observations.schema[s.TIMESTAMP].dataType
     low, high = F.lit(start).cast(kind), F.lit(end).cast(kind)
     inside = F.col(s.TIMESTAMP).between(low, high)
-    if s.LOAD_DAY in observations.columns:
-        near = F.date_sub(low.cast("date"), 1), F.date_add(high.cast("date"), 1)
+    if load_day_margin is not None and s.LOAD_DAY in observations.columns:
+        near = (
+            F.date_sub(low.cast("date"), load_day_margin),
+            F.date_add(high.cast("date"), load_day_margin),
+        )
         inside &= F.col(s.LOAD_DAY).between(*near)
     return observations.where(inside)
 

@@ -97,6 +97,19 @@ _TRADE_FACT = (_TRADES, _daily(), _FACT)
 _EVENT_FACT = (_EVENTS, _daily(), _FACT)
 
 
+_LARGE = (
+    _TRADES,
+    """scaled AS (
+  SELECT * REPLACE (
+    current_price * (1e15 * pow(10.0, CAST(id AS INTEGER) % 11)) AS current_price,
+    market_cap * (1e15 * pow(10.0, CAST(id AS INTEGER) % 11)) AS market_cap) FROM obs)""",
+    """daily AS (
+  SELECT CAST("timestamp" AS DATE) AS data_referencia, id AS id_moeda,
+    AVG(current_price) AS preco, AVG(market_cap) AS valor
+  FROM scaled GROUP BY 1, 2)""",
+)
+
+
 def _ranking(depth: int) -> str:
     return f"""ranking AS (
   SELECT * FROM (
@@ -349,6 +362,26 @@ FROM obs GROUP BY 1, 2, 3 ORDER BY 4 DESC, id LIMIT 50""",
     "silver_stream": _with(*_EVENT_FACT, then="SELECT * FROM fact"),
     "gold_ranking": _with(*_TRADE_FACT, _ranking(DEPTH), then="SELECT * FROM ranking"),
     "gold_ranking_spread": _with(*_TRADE_FACT, _ranking(DEPTH), then="SELECT * FROM ranking"),
+    "gold_ranking_null_days": _with(
+        *_TRADE_FACT[:-1],
+        _FACT.replace("fact AS", "dated AS", 1),
+        """fact AS (
+  SELECT * REPLACE (CASE WHEN day(data_referencia) % 3 <> 0 THEN data_referencia END
+    AS data_referencia) FROM dated)""",
+        _ranking(DEPTH),
+        then="SELECT * FROM ranking",
+    ),
+    "silver_large_values": _with(
+        *_LARGE,
+        then="""SELECT data_referencia, id_moeda, ROUND(LOG10(preco), 6) AS ordem_preco,
+  ROUND(LOG10(valor), 6) AS ordem_valor FROM daily""",
+    ),
+    "gold_market_large_values": _with(
+        *_LARGE,
+        then="""SELECT data_referencia, ROUND(LOG10(SUM(valor)), 6) AS ordem_total,
+  ROUND(LOG10(AVG(valor)), 6) AS ordem_media, ROUND(LOG10(AVG(preco)), 6) AS ordem_preco
+FROM daily GROUP BY 1""",
+    ),
     "gold_ranking_top100": _with(*_EVENT_FACT, _ranking(100), then="SELECT * FROM ranking"),
     "gold_change_d1": _with(*_TRADE_FACT, _CHANGE, then="SELECT * FROM change"),
     "gold_change_d1_events": _with(*_EVENT_FACT, _CHANGE, then="SELECT * FROM change"),

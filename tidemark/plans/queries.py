@@ -337,6 +337,44 @@ def gold_ranking_spread(spark: SparkSession, folder: str) -> DataFrame:
     return gold.daily_ranking(fact, DEPTH, day_rows_per_task=0)
 
 
+def gold_ranking_null_days(spark: SparkSession, folder: str) -> DataFrame:
+    """The ranking of oversized days beside rows that have no day."""
+    fact = _fact(spark, folder)
+    day = F.when(F.dayofmonth(s.DAY) % 3 != 0, F.col(s.DAY))
+    fact = store(fact.withColumn(s.DAY, day), "fact")
+    return gold.daily_ranking(fact, DEPTH, day_rows_per_task=0)
+
+
+def _large(spark: SparkSession, folder: str) -> DataFrame:
+    """The fact of trades whose amounts are scaled by 10^15 to 10^25."""
+    scale = F.lit(1e15) * F.pow(F.lit(10.0), F.col(s.ID).cast("int") % 11)
+    trades = trade_observations(spark, folder)
+    return silver.daily_fact(
+        trades.withColumns({c: F.col(c) * scale for c in (s.PRICE, s.MARKET_CAP)})
+    )
+
+
+def silver_large_values(spark: SparkSession, folder: str) -> DataFrame:
+    """Magnitudes of the daily means, compared to six digits of their logarithm."""
+    return _large(spark, folder).select(
+        s.DAY,
+        s.ASSET,
+        F.round(F.log10(s.MEAN_PRICE), 6).alias("ordem_preco"),
+        F.round(F.log10(s.MEAN_CAP), 6).alias("ordem_valor"),
+    )
+
+
+def gold_market_large_values(spark: SparkSession, folder: str) -> DataFrame:
+    """Magnitudes of the market's totals and means over such a fact."""
+    summary = gold.market_summary(_large(spark, folder))
+    return summary.select(
+        s.DAY,
+        F.round(F.log10("valor_mercado_total_usd"), 6).alias("ordem_total"),
+        F.round(F.log10("valor_mercado_medio_por_moeda_usd"), 6).alias("ordem_media"),
+        F.round(F.log10("preco_medio_geral_usd"), 6).alias("ordem_preco"),
+    )
+
+
 def gold_ranking_top100(spark: SparkSession, folder: str) -> DataFrame:
     fact = silver.daily_fact(_events(spark, folder))
     return gold.daily_ranking(store(fact, "fact"))
@@ -462,6 +500,9 @@ QUERIES: dict[str, Query] = {
         silver_stream,
         gold_ranking,
         gold_ranking_spread,
+        gold_ranking_null_days,
+        silver_large_values,
+        gold_market_large_values,
         gold_ranking_top100,
         gold_change_d1,
         gold_change_d1_events,

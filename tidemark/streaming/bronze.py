@@ -12,10 +12,11 @@ from tidemark import schema as s
 from tidemark.operators.bronze import to_bronze
 
 FILES = "*.parquet"
-# Files older than this against the newest one are skipped by the source; the built-in
-# week would lose files that were copied in with their old modification time. The price
-# is that the driver remembers the names of all files seen, some 200 bytes each.
-MAX_FILE_AGE = "3650d"
+# The source skips files older than this against the newest one. Copies and restores may
+# carry any modification time, the epoch's first day included, so the age is one that no
+# file can have. The price is that the driver remembers the names of all files seen, some
+# 200 bytes each.
+MAX_FILE_AGE = "1000000d"
 
 
 def raw_stream(

@@ -14,33 +14,32 @@ from tidemark.functions import calendar
 from tidemark.operators.silver import daily_fact
 from tidemark.streaming.bronze import MAX_FILE_AGE
 
-_ONE_DAY = dt.timedelta(days=1)
 
-
-def touched_days(rows: DataFrame) -> list[dt.date]:
-    """Days with at least one row; a list no longer than the calendar."""
-    days = rows.select(calendar.day_of(rows, s.TIMESTAMP).alias(s.DAY))
+def touched_days(rows: DataFrame) -> list[str]:
+    """Days with at least one row, as text; a list no longer than the calendar."""
+    days = rows.select(calendar.day_of(rows, s.TIMESTAMP).cast("string").alias(s.DAY))
     return [r[0] for r in days.where(F.col(s.DAY).isNotNull()).distinct().collect()]
 
 
-def rows_of_days(bronze: DataFrame, days: Iterable[dt.date]) -> DataFrame:
-    """Bronze rows of the given days, reading only the load days they can lie in.
+def rows_of_days(bronze: DataFrame, days: Iterable[dt.date | str]) -> DataFrame:
+    """Bronze rows of the given days, whatever load day they lie in.
 
-    The load day and the day of the instant differ by at most one when raw was written
-    under another clock zone, hence the margin.
+    Which load days those are is read off the time column alone; whole rows are then read
+    from these partitions only.
     """
-    days = sorted(days)
-    load_days = {near for day in days for near in (day - _ONE_DAY, day, day + _ONE_DAY)}
-    names = sorted(day.isoformat() for day in load_days)
-    return bronze.where(F.col(s.LOAD_DAY).isin(names)).where(
-        calendar.day_of(bronze, s.TIMESTAMP).isin(days)
-    )
+    inside = calendar.day_of(bronze, s.TIMESTAMP).cast("string").isin(sorted(map(str, days)))
+    held = bronze.where(inside).select(s.LOAD_DAY).distinct().collect()
+    load_days = [r[0] for r in held]
+    named = F.col(s.LOAD_DAY).isin([d for d in load_days if d is not None])
+    if None in load_days:
+        named = F.col(s.LOAD_DAY).isNull() | named
+    return bronze.where(named).where(inside)
 
 
 def refresh_touched(
     bronze: DataFrame,
     silver_path: str,
-    days: Iterable[dt.date],
+    days: Iterable[dt.date | str],
     processed_at: dt.datetime | str | None = None,
 ) -> None:
     """Rebuild the given days of the fact from bronze, replacing their partitions.
