@@ -270,3 +270,15 @@ def test_dedup_is_independent_of_order(spark):
         kept = keyed(ingest.dedup_observations(observations(spark, given)), s.TIMESTAMP)
         assert len(kept) == 2
         assert kept["2024-01-01T00:00:00"][s.PRICE] == 2.0
+
+
+def test_merged_loads_keep_the_rest_of_a_day(spark, market, tmp_path):
+    path = str(tmp_path / "raw")
+    raw.write_raw(market, path)
+    some = market.where("id = 'btc'").withColumn(s.PRICE, F.lit(7.0))
+    assert raw.merge_raw(some, path) and raw.merge_raw(some, path)
+    back = raw.read_raw(spark, path)
+    assert back.count() == market.count()
+    assert {r[0] for r in back.where("id = 'btc'").select(s.PRICE).collect()} == {7.0}
+    assert not raw.merge_raw(market.where("false"), path)
+    assert raw.merge_raw(some, str(tmp_path / "fresh"))

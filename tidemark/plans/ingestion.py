@@ -29,18 +29,20 @@ def daily_load(
     as_of: dt.date | str | None = None,
     lag_days: int = s.LAG_DAYS,
     universe: int = s.UNIVERSE_SIZE,
+    merge: bool = False,
 ) -> bool:
     """Append the days after the last loaded one, up to `as_of` minus the lag.
 
     Returns False when raw is already up to date. The mark is one value, read before
-    the append so that the load does not see itself.
+    the append so that the load does not see itself. With `merge` samples that raw has
+    already are replaced, not repeated.
     """
     stored = raw.read_raw(spark, raw_path)
     mark = None if stored is None else ingest.high_water_mark(stored).first()[0]
     first, last = ingest.load_window(mark, as_of, lag_days)
     rows = landed_observations(payloads, listing, universe)
     due = F.to_date(s.TIMESTAMP).between(first, last)
-    return raw.write_raw(rows.where(due), raw_path)
+    return _write(rows.where(due), raw_path, merge)
 
 
 def backfill_load(
@@ -50,7 +52,15 @@ def backfill_load(
     start: dt.datetime | str,
     end: dt.datetime | str,
     universe: int = s.UNIVERSE_SIZE,
+    merge: bool = False,
 ) -> bool:
-    """Append all samples between two instants, both included, in one write."""
+    """Append all samples between two instants, both included, in one write; with `merge`
+    samples that raw has already are replaced, not repeated."""
     rows = landed_observations(payloads, listing, universe)
-    return raw.write_raw(ingest.backfill_range(rows, start, end), raw_path)
+    return _write(ingest.backfill_range(rows, start, end), raw_path, merge)
+
+
+def _write(rows: DataFrame, raw_path: str, merge: bool) -> bool:
+    if merge:
+        return raw.merge_raw(ingest.dedup_observations(rows), raw_path)
+    return raw.write_raw(rows, raw_path)

@@ -342,6 +342,7 @@ FROM obs GROUP BY 1, 2, 3 ORDER BY 4 DESC, id LIMIT 50""",
   (ROW_NUMBER() OVER (ORDER BY s_suppkey) - 1) // 10 AS lote FROM supplier""",
     "raw_partitioned_write": _with(_EVENTS, then=_WRITTEN_DAYS),
     "raw_replace_days": _with(_EVENTS, then=_WRITTEN_DAYS),
+    "ingest_overlap": _with(_EVENTS, then=_WRITTEN_DAYS),
     "raw_dedup": _with(
         _EVENTS,
         f"""doubled AS (SELECT * FROM obs UNION ALL

@@ -231,6 +231,18 @@ def raw_replace_days(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def ingest_overlap(spark: SparkSession, folder: str) -> DataFrame:
+    """A second load of half the assets, part of its first day included, merged into
+    raw: each sample is there once and the other assets keep their rows."""
+    path = _written_raw(spark, folder)
+    again = ingest.backfill_range(_events(spark, folder), OVERLAP_FROM, "2024-12-31")
+    raw.merge_raw(ingest.dedup_observations(again.where(F.col(s.ID).cast("int") % 2 == 0)), path)
+    back = raw.read_raw(spark, path)
+    return back.groupBy(s.MONTH, s.LOAD_DAY).agg(
+        F.count("*").alias("linhas"), numbers.exact_sum(s.PRICE).alias("soma_preco")
+    )
+
+
 def raw_dedup(spark: SparkSession, folder: str) -> DataFrame:
     rows = _events(spark, folder)
     overlap = rows.where(F.col(s.TIMESTAMP) >= F.lit(OVERLAP_FROM).cast("timestamp_ntz"))
@@ -488,6 +500,7 @@ QUERIES: dict[str, Query] = {
         asset_batches,
         raw_partitioned_write,
         raw_replace_days,
+        ingest_overlap,
         raw_dedup,
         bronze_normalize,
         bronze_quality,

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schema as s
 from tidemark.functions import calendar
+from tidemark.sources.files import store
 
 
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:
@@ -48,7 +49,8 @@ def write_raw(df: DataFrame, path: str, mode: str = "append") -> bool:
 
     Columns take their declared types, so that loads of different origin (say, one
     with whole numbers only) lie side by side. `mode="replace_days"` overwrites just the
-    days present in `df`, which makes a repeated load idempotent. The rebalance step
+    days present in `df`: for loads of whole days of all assets; `merge_raw` keeps the rest
+    of a day. The rebalance step
     gathers each day into few files and lets the adaptive planner split a day that is
     too large for one task.
     """
@@ -66,3 +68,31 @@ def write_raw(df: DataFrame, path: str, mode: str = "append") -> bool:
         writer = writer.mode(mode)
     writer.parquet(path)
     return True
+
+
+def merge_raw(df: DataFrame, path: str) -> bool:
+    """Write observations into the raw table so that each (id, instant) is there once.
+
+    `df` holds each of them once. Stored rows of other assets or instants stay, those
+    that `df` has again give way. Only the load days that `df` touches are read and
+    written; what takes their place is stored beside the table before they go.
+    """
+    if df.isEmpty():
+        return False
+    declared = df.select(*[F.col(f.name).cast(f.dataType) for f in s.OBSERVATION])
+    new = store(with_load_partitions(declared), "incoming")
+    stored = read_raw(df.sparkSession, path)
+    if stored is not None:
+        touched = new.select(F.col(s.LOAD_DAY).alias("_day")).distinct()
+        again = new.select(F.col(s.ID).alias("_id"), F.col(s.TIMESTAMP).alias("_at"))
+        same = F.col(s.ID).eqNullSafe(F.col("_id")) & F.col(s.TIMESTAMP).eqNullSafe(F.col("_at"))
+        kept = stored.join(touched, F.col(s.LOAD_DAY).eqNullSafe(F.col("_day")), "left_semi")
+        new = store(new.unionByName(kept.join(again, same, "left_anti")), "merged")
+    (
+        new.hint("rebalance", s.LOAD_DAY)
+        .write.partitionBy(s.MONTH, s.LOAD_DAY)
+        .option("partitionOverwriteMode", "dynamic")
+        .mode("overwrite")
+        .parquet(path)
+    )
+    return True

@@ -65,20 +65,23 @@ def silver_stream(
     silver_path: str,
     checkpoint: str,
     processed_at: dt.datetime | str | None = None,
+    files_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Follow bronze: per batch, find the days its rows touch and rebuild those.
 
-    Late rows need no watermark; they simply touch an old day.
+    Late rows need no watermark; they simply touch an old day. `files_per_batch` cuts a
+    large backlog into batches, so that one batch does not touch the whole calendar.
     """
 
     def rebuild(batch: DataFrame, _: int) -> None:
         current = batch.sparkSession.read.schema(s.BRONZE).parquet(bronze_path)
         refresh_touched(current, silver_path, touched_days(batch), processed_at)
 
+    reader = spark.readStream.schema(s.BRONZE).option("maxFileAge", MAX_FILE_AGE)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
     query = (
-        spark.readStream.schema(s.BRONZE)
-        .option("maxFileAge", MAX_FILE_AGE)
-        .parquet(bronze_path)
+        reader.parquet(bronze_path)
         .writeStream.foreachBatch(rebuild)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
