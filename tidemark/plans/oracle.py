@@ -122,13 +122,17 @@ def _ranking(depth: int) -> str:
   WHERE rank_valor_mercado <= {depth} OR rank_volume <= {depth})"""
 
 
-_CHANGE = f"""change AS (
-  SELECT h.data_referencia, h.id_moeda, h.simbolo, h.nome_moeda, h.preco_medio_usd,
-    o.preco_medio_usd AS preco_medio_ontem_usd,
-    {_half("h.preco_medio_usd - o.preco_medio_usd", 2)} AS variacao_abs_d1_usd,
-    {_pct("h.preco_medio_usd", "o.preco_medio_usd")} AS variacao_pct_d1
-  FROM fact h LEFT JOIN fact o ON h.id_moeda = o.id_moeda
-    AND o.data_referencia = CAST(h.data_referencia - INTERVAL 1 DAY AS DATE))"""
+_CHANGE = f"""paired AS (
+  SELECT *, MAX(preco_medio_usd) OVER (PARTITION BY id_moeda ORDER BY data_referencia
+      RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING)
+    AS preco_medio_ontem_usd
+  FROM fact),
+change AS (
+  SELECT data_referencia, id_moeda, simbolo, nome_moeda, preco_medio_usd,
+    preco_medio_ontem_usd,
+    {_half("preco_medio_usd - preco_medio_ontem_usd", 2)} AS variacao_abs_d1_usd,
+    {_pct("preco_medio_usd", "preco_medio_ontem_usd")} AS variacao_pct_d1
+  FROM paired)"""
 
 
 def _top(name: str, measure: str, prefix: str) -> str:
