@@ -8,6 +8,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -282,3 +283,12 @@ def test_pipeline_stages(spark, tmp_path):
     ids = Tokenizer.from_file(WORD_VOCABULARY).encode(rows[1][1], add_special_tokens=False).ids
     assert got[1].ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
     assert got[1].n_tokens == len(ids)
+
+
+def test_language_model_blocks_send_only_what_they_hold():
+    block = ngram_lm.Asked(pa.array(["one two three", ""], pa.large_string()), np.array([True, False]), 2)
+    sent = list(block.requests(1 << 20))
+    assert len(sent) <= sum(map(len, block.keys))  # not one row for each bucket
+    for k in range(2):
+        assert np.array_equal(np.concatenate([keys[k] for _, keys, _ in sent]), block.keys[k])
+        assert np.array_equal(np.concatenate([counts[k] for _, _, counts in sent]), block.own[k])

@@ -15,13 +15,16 @@ root a known word has (1 - u) c(w) / N and the class of unknown words u, the sha
 tokens seen once, (n1 + 1) / (N + n1 + 1). For each history this sums to one over the V
 known tokens and the class of unknown ones.
 
-How it runs: texts are dealt by a hash to blocks. A block sends the distinct n-grams of
-its texts, as sorted hashes with their training counts, to buckets by hash: one row per
-block and bucket that holds a packed array. A bucket adds up the counts of its n-grams
-over all blocks and answers each block with the totals of the n-grams it asked for, and
-with its own share of N, V and n1. A block meets its answers and its texts again, builds
-its part of the automaton from them and reads its texts. An n-gram that is in every text
-is still one entry per block, and no model is held whole anywhere.
+How it runs: N, V and n1 are three sums over the counted training tokens. Texts are
+dealt by a hash to blocks. A block sends the distinct n-grams of its texts, as sorted
+hashes with their training counts, to the buckets they fall into: one row per block and
+bucket that holds a packed array. A bucket adds up the counts of its n-grams over all
+blocks and answers each block that asked with the totals of its n-grams. A block meets
+its answers and its texts again, builds its part of the automaton from them and reads its
+texts. An n-gram that is in every text is still one entry per block, and no model is held
+whole anywhere. A block and a bucket that share nothing exchange no row, so the rows grow
+with the n-grams asked for, not with blocks times buckets; a task takes its blocks one
+after the other, so there may be far more blocks than tasks.
 
 Tokens: words are runs of anything but blank, tab, line and page ends, with A-Z lowered;
 one end follows the last word, and is the history of the first. n-grams are told apart by
@@ -48,7 +51,8 @@ from tidemark.llm import arrays
 
 ORDER = 2
 PRIOR = 20.0
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 12 << 20
+TASKS = 1 << 15  # most tasks the blocks are dealt over
 STRETCH = 256
 
 _END = np.uint64(0x1F0E1D2C3B4A5968)  # hash of the end token
@@ -112,31 +116,33 @@ class Asked:
             self.own.append(np.bincount(inverse[learned[at]], minlength=len(key)).astype(np.int32))
 
     def requests(self, buckets: int):
-        """For each bucket: the hashes of each order, and their counts in this block."""
-        cuts = _cuts(buckets)
-        sides = [np.searchsorted(k, cuts) for k in self.keys]
-        for b in range(buckets):
+        """For each bucket the block has n-grams for: the hashes of each order, and their
+        counts in this block."""
+        owners = [bucket_of(k, buckets) for k in self.keys]
+        held = np.unique(np.concatenate(owners))
+        sides = [(np.searchsorted(o, held), np.searchsorted(o, held, "right")) for o in owners]
+        del owners
+        for i, b in enumerate(held.tolist()):
+            parts = [slice(start[i], stop[i]) for start, stop in sides]
             yield (
                 b,
-                [k[s[b] : s[b + 1]] for k, s in zip(self.keys, sides, strict=True)],
-                [c[s[b] : s[b + 1]] for c, s in zip(self.own, sides, strict=True)],
+                [k[part] for k, part in zip(self.keys, parts, strict=True)],
+                [c[part] for c, part in zip(self.own, parts, strict=True)],
             )
 
 
-def _cuts(buckets: int) -> np.ndarray:
-    """Bounds of equal ranges of hashes; the last one is open."""
-    return np.array([min((i << 64) // buckets, (1 << 64) - 1) for i in range(buckets)] + [(1 << 64) - 1], np.uint64)
+def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket of each hash: equal ranges, in the order of the hashes."""
+    return ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
 
 
-def summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Total count of each key over all blocks, and the totals in each block's order."""
-    if not keys:
-        return np.zeros(0, np.int64), []
+def summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> list[np.ndarray]:
+    """Total count over all blocks of each block's keys, in the block's order."""
     every, inverse = _numbered(np.concatenate(keys))
     # exact while a total stays below 2^53
     total = np.bincount(inverse, np.concatenate(counts), len(every)).astype(np.int64)
     ends = np.cumsum([0, *map(len, keys)])
-    return total, [total[inverse[a:b]] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+    return [total[inverse[a:b]] for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
 
 class Automaton:
@@ -276,13 +282,21 @@ _ANSWER = T.StructType(
         T.StructField("block", T.LongType()),
         T.StructField("bucket", T.LongType()),
         T.StructField("counts", T.ArrayType(T.BinaryType())),
-        T.StructField("tokens", T.LongType()),
-        T.StructField("types", T.LongType()),
-        T.StructField("once", T.LongType()),
     ]
 )
 
 
+def _planes(keys: np.ndarray) -> bytes:
+    """Sorted hashes, their first bytes together, then their second ones and so on: the
+    leading ones hardly change, so the shuffle's compression takes them away."""
+    return keys.astype(">u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _hashes(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(packed, np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view(">u8")[:, 0].astype(np.uint64)
+
+
 def _small(counts: np.ndarray) -> bytes:
     """Counts in as few bytes each as they need, the width first."""
     top = int(counts.max()) if len(counts) else 0
@@ -302,6 +316,26 @@ def _asked(table: pa.Table, order: int) -> Asked:
     return Asked(texts, rows.column("learn").to_numpy(), order)
 
 
+def token_totals(texts: DataFrame) -> dict[str, int]:
+    """Tokens, distinct tokens and tokens seen once of the one column of `texts`."""
+
+    def count(stream):
+        for _, _, data, offsets in arrays.batches(stream, "text"):
+            hashes, first = tokens(data, offsets)
+            read = np.ones(len(hashes), bool)
+            read[first[:-1]] = False  # the leading ends
+            words, n = np.unique(hashes[read], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n)], names=["word", "n"])
+
+    counted = texts.mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    found = counted.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"),
+        F.count(F.lit(1)).alias("types"),
+        F.count_if(F.col("n") == 1).alias("once"),
+    )
+    return found.first().asDict()
+
+
 def score_texts(
     docs: DataFrame,
     learn: Column,
@@ -316,6 +350,7 @@ def score_texts(
     size = docs.agg(F.sum(F.octet_length(text_column))).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
     id_text = F.coalesce(F.col(id_column).cast("string"), F.lit(""))
+    totals = token_totals(docs.where(learn).select(F.col(text_column).alias("text")))
     dealt = (
         docs.select(
             F.pmod(F.xxhash64(id_text, F.col(text_column)), F.lit(blocks)).alias("block"),
@@ -324,30 +359,26 @@ def score_texts(
             F.coalesce(learn, F.lit(False)).alias("learn"),
         )
         # more partitions than blocks, so that few tasks get two
-        .repartition(4 * blocks, "block")
+        .repartition(min(4 * blocks, TASKS), "block")
     )
 
     def ask(table: pa.Table) -> pa.Table:
         asked = _asked(table, order)
         block = table.column("block")[0].as_py()
         out = [
-            {"bucket": b, "block": block, "keys": [k.tobytes() for k in keys], "counts": [_small(c) for c in counts]}
+            {"bucket": b, "block": block, "keys": list(map(_planes, keys)), "counts": [_small(c) for c in counts]}
             for b, keys, counts in asked.requests(blocks)
         ]
         return pa.Table.from_pylist(out, schema=_arrow(_PACKED))
 
     def answer(table: pa.Table) -> pa.Table:
         rows = table.sort_by("block").to_pylist()
-        columns, own = [], []
+        columns = []
         for k in range(order):
-            keys = [np.frombuffer(r["keys"][k], np.uint64) for r in rows]
-            total, replies = summed(keys, [_large(r["counts"][k]) for r in rows])
-            columns.append(replies)
-            if k == 0:
-                own = [int(total.sum()), int((total > 0).sum()), int((total == 1).sum())]
+            keys = [_hashes(r["keys"][k]) for r in rows]
+            columns.append(summed(keys, [_large(r["counts"][k]) for r in rows]))
         out = [
             {"block": r["block"], "bucket": r["bucket"], "counts": [_small(c[i]) for c in columns]}
-            | dict(zip(("tokens", "types", "once"), own, strict=True))
             for i, r in enumerate(rows)
         ]
         return pa.Table.from_pylist(out, schema=_arrow(_ANSWER))
@@ -368,7 +399,6 @@ def score_texts(
     def read(texts: pa.Table, answers: pa.Table) -> pa.Table:
         asked = _asked(texts, order)
         rows = answers.sort_by("bucket").to_pylist()
-        totals = {k: sum(r[k] for r in rows) for k in ("tokens", "types", "once")}
         counts = [np.concatenate([_large(r["counts"][k]) for r in rows]) for k in range(order)]
         del rows
         n, known, base = base_scores(asked, counts[0], totals)
