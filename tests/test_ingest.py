@@ -113,6 +113,26 @@ def test_daily_load(spark, tmp_path):
     assert run("2025-11-30", universe=1) == (True, more)
 
 
+def test_daily_load_reads_the_due_request_days_only(spark, tmp_path):
+    day, start = 86_400_000, 1764028800000  # 2025-11-25
+    landing, listing = tmp_path / "landing", tmp_path / "listing"
+    landing.mkdir()
+    for i in range(20):
+        t = start + i * day + 1000
+        folder = landing / f"request_day={dt.date(2025, 11, 25) + dt.timedelta(days=i)}"
+        land(folder, {"coin": "btc", "prices": [[t, 1.0]], "market_caps": [[t, 2]], "total_volumes": [[t, 3]]})
+    (landing / "request_day=2025-11-25" / "broken.json").write_text('{"coin": ')
+    payloads = raw.read_payloads(spark, str(landing))
+    assets = raw.read_listing(spark, land(listing, {"id": "btc", "symbol": "b", "name": "B", "market_cap": 5}))
+    path = str(tmp_path / "raw")
+    # the broken line of a day that is not due is never parsed
+    assert ingestion.daily_load(spark, payloads, assets, path, "2025-12-06")
+    assert [r.dt for r in raw.read_raw(spark, path).collect()] == [dt.date(2025, 12, 4)]
+    due = ingest.requested_between(payloads, dt.date(2025, 12, 4), dt.date(2025, 12, 4))
+    assert due.select("coin").count() == 3
+    assert not ingestion.daily_load(spark, payloads, assets, path, "2025-12-06")
+
+
 def test_universe(spark):
     rows = [(f"a{i:02}", "s", "n", float(i % 7) if i else None) for i in range(60)]
     top = ingest.top_universe(spark.createDataFrame(rows, s.LISTING)).collect()

@@ -269,6 +269,19 @@ def test_refresh_registers_tables(spark, tmp_path):
     spark.sql("DROP DATABASE marts CASCADE")
 
 
+def test_a_failed_refresh_leaves_the_table(spark, market, tmp_path):
+    from tidemark.sources.tables import publish
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS kept")
+    given = market.select(s.ID, s.PRICE)
+    publish(given, str(tmp_path), "t", database="kept", comment="it's one", partition_by=s.ID)
+    broken = given.withColumn(s.PRICE, F.raise_error("no").cast("double"))
+    with pytest.raises(Exception, match="no"):
+        publish(broken, str(tmp_path), "t", database="kept", partition_by=s.ID)
+    same(spark.table("kept.t").select(given.columns), given)
+    spark.sql("DROP DATABASE kept CASCADE")
+
+
 def test_silver_by_day_leaves_other_days_unread(spark, market, tmp_path):
     from tidemark.operators import reports
 

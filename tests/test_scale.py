@@ -72,6 +72,14 @@ def test_ranks_within_a_depth(spark, depth):
     assert sorted(map(repr, cut.collect())) == sorted(map(repr, every.where(first).collect()))
 
 
+def test_ranks_of_many_groups_are_not_broadcast(spark, monkeypatch):
+    fact = skewed(spark, 3000)
+    wide = placement.spread_dense_ranks(fact, s.DAY, gold.RANKS, 3)
+    monkeypatch.setattr(placement, "BROADCAST_ROWS", 0)
+    narrow = placement.spread_dense_ranks(fact, s.DAY, gold.RANKS, 3)
+    assert sorted(map(repr, wide.collect())) == sorted(map(repr, narrow.collect()))
+
+
 def test_hot_day_never_reaches_a_window(spark):
     fact = skewed(spark)
     every_day = placement.spread_dense_ranks(fact, s.DAY, gold.RANKS)

@@ -20,6 +20,9 @@ RANKS = {"rank_valor_mercado": s.MEAN_CAP, "rank_volume": s.MEAN_VOLUME}
 # a day with more assets than this is ranked across the cluster, not in one task
 DAY_ROWS_PER_TASK = 1_000_000
 
+# of the approximate median: its rank is off by at most 1 / accuracy of the rows
+MEDIAN_ACCURACY = 10_000
+
 
 def daily_ranking(
     fact: DataFrame,
@@ -79,7 +82,7 @@ def top_by_day(fact: DataFrame, measure: str, prefix: str) -> DataFrame:
     )
 
 
-def market_summary(fact: DataFrame, accuracy: int = 10_000) -> DataFrame:
+def market_summary(fact: DataFrame, accuracy: int = MEDIAN_ACCURACY) -> DataFrame:
     """Per day: asset count, totals, means, approximate median and the two leaders.
 
     One aggregate over one scan. Every part combines before the shuffle, the leaders

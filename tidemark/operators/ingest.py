@@ -34,6 +34,20 @@ def _value_at(series: str, i: Column) -> Column:
     return F.get(F.get(F.col(series), i), F.lit(1))
 
 
+def requested_between(payloads: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
+    """Payloads that may hold samples of the days `first` to `last`.
+
+    A landing in folders by `request_day`, each response below the one day it was asked
+    for, is read in the folders of these days only (and one on either side, for other
+    clock zones). Responses without such a day are all read.
+    """
+    if s.REQUEST_DAY not in payloads.columns:
+        return payloads
+    day = F.col(s.REQUEST_DAY)
+    near = day.between(first - dt.timedelta(days=1), last + dt.timedelta(days=1))
+    return payloads.where(near | day.isNull())
+
+
 def dimension(listing: DataFrame) -> DataFrame:
     """(id, symbol, name), one row per id; the greatest label pair wins a conflict."""
     labels = F.max(F.struct(s.SYMBOL, s.NAME)).alias("label")

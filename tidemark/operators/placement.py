@@ -12,6 +12,9 @@ from tidemark.sources.files import store
 _ROW_BITS = 33
 _ROW_MASK = (1 << _ROW_BITS) - 1
 
+# tables with one row for each group and measure are broadcast up to this many rows
+BROADCAST_ROWS = 100_000
+
 
 def with_position(df: DataFrame, *order: Column, name: str = "posicao") -> DataFrame:
     """Add each row's 0-based place in the global order given by `order`.
@@ -62,17 +65,18 @@ def spread_dense_ranks(
 
     The rank of a value is its place among the group's distinct values. Those of all
     measures are deduplicated on the map side, sorted across the cluster in one go, and
-    joined back; the adaptive planner splits a value that very many rows share. Meant
-    for the few groups `groups_over` finds: one row for each of them and measure is
-    broadcast.
+    joined back; the adaptive planner splits a value that very many rows share. The
+    ranks are stored once for all their readers. Meant for the few groups `groups_over`
+    finds: one row for each of them and measure is broadcast, if their counted number
+    allows it.
 
     With `within`, rows beyond that place by every measure are left out. They are told
     by comparing values, before anything but the distinct values has been shuffled.
     """
     columns = df.columns
-    ranks = _value_ranks(df, group, measures)
+    ranks, few = _value_ranks(df, group, measures)
     if within is not None:
-        df = _rows_within(df, ranks, group, measures, within)
+        df = _rows_within(df, ranks, group, measures, within, few)
     for rank, measure in measures.items():
         of_rank = ranks.where(F.col("_rank") == rank).withColumnRenamed("_dense", rank)
         same_group = F.col(group) == F.col("_group")
@@ -81,8 +85,11 @@ def spread_dense_ranks(
     return df.select(*columns, *measures)
 
 
-def _value_ranks(df: DataFrame, group: str, measures: dict[str, str]) -> DataFrame:
-    """(_rank, _group, _value, _dense): every distinct value's place in its group."""
+def _value_ranks(
+    df: DataFrame, group: str, measures: dict[str, str]
+) -> tuple[DataFrame, bool]:
+    """(_rank, _group, _value, _dense), stored: every distinct value's place in its group;
+    and whether the groups are few enough to broadcast a row for each."""
     tagged = F.array(
         *[
             F.struct(F.lit(rank).alias("_rank"), F.col(measure).alias("_value"))
@@ -98,14 +105,16 @@ def _value_ranks(df: DataFrame, group: str, measures: dict[str, str]) -> DataFra
         name="_place",
     )
     keys = ["_rank", "_group"]
-    first = placed.groupBy(*keys).agg(F.min("_place").alias("_first"))
-    return placed.join(F.broadcast(first), keys).select(
+    first = store(placed.groupBy(*keys).agg(F.min("_place").alias("_first")), "starts")
+    few = first.count() <= BROADCAST_ROWS
+    ranks = placed.join(F.broadcast(first) if few else first, keys).select(
         *keys, "_value", (F.col("_place") - F.col("_first") + 1).alias("_dense")
     )
+    return store(ranks, "ranks"), few
 
 
 def _rows_within(
-    df: DataFrame, ranks: DataFrame, group: str, measures: dict[str, str], depth: int
+    df: DataFrame, ranks: DataFrame, group: str, measures: dict[str, str], depth: int, few: bool
 ) -> DataFrame:
     """Rows whose value is among the group's `depth` first by at least one measure."""
     kept, bounds = F.lit(False), []
@@ -121,4 +130,4 @@ def _rows_within(
         .groupBy(F.col("_group").alias(group))
         .agg(*bounds)
     )
-    return df.join(F.broadcast(cuts), group).where(kept).select(df.columns)
+    return df.join(F.broadcast(cuts) if few else cuts, group).where(kept).select(df.columns)

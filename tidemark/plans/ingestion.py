@@ -35,12 +35,15 @@ def daily_load(
 
     Returns False when raw is already up to date. The mark is one value, read before
     the append so that the load does not see itself. With `merge` samples that raw has
-    already are replaced, not repeated.
+    already are replaced, not repeated. Nothing landed is read when nothing is due, nor,
+    where the landing is laid out by request day, responses for days that are not.
     """
     stored = raw.read_raw(spark, raw_path)
     mark = None if stored is None else ingest.high_water_mark(stored).first()[0]
-    first, last = ingest.load_window(mark, as_of, lag_days)
-    rows = landed_observations(payloads, listing, universe)
+    first, last = spark.range(1).select(*ingest.load_window(mark, as_of, lag_days)).first()
+    if first > last:
+        return False
+    rows = landed_observations(ingest.requested_between(payloads, first, last), listing, universe)
     due = F.to_date(s.TIMESTAMP).between(first, last)
     return _write(rows.where(due), raw_path, merge)
 

@@ -5,14 +5,15 @@ from __future__ import annotations
 import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tidemark import schema as s
 from tidemark.operators import gold, silver
-from tidemark.sources.tables import publish
+from tidemark.sources.tables import publish, publish_stream
 
 # comments the tables carry in the catalog
 COMMENTS = {
+    s.BRONZE_TABLE: "Landed observations as text, each file once.",
     s.SILVER_DAILY: "Daily means per asset, symbol and name.",
     s.SILVER_FACT: "One row per asset and day, newest version.",
     s.GOLD_RANKING: "Daily ranking by market cap and by volume, ties kept.",
@@ -22,16 +23,31 @@ COMMENTS = {
 }
 
 
-def gold_tables(fact: DataFrame, ranking_depth: int = s.RANKING_DEPTH) -> dict[str, DataFrame]:
+def gold_tables(
+    fact: DataFrame, ranking_depth: int = s.RANKING_DEPTH, accuracy: int = gold.MEDIAN_ACCURACY
+) -> dict[str, DataFrame]:
     """The four gold products of a stored fact, not yet written."""
     return {
         s.GOLD_RANKING: gold.daily_ranking(fact, ranking_depth),
         s.GOLD_CHANGE: gold.change_d1(fact),
-        s.GOLD_MARKET: gold.market_summary(fact),
+        s.GOLD_MARKET: gold.market_summary(fact, accuracy),
         s.GOLD_ASSET: gold.asset_summary(fact),
     }
 
 
+def publish_bronze(spark: SparkSession, path: str, database: str) -> DataFrame:
+    """Name the bronze layer that a stream keeps at `path`."""
+    return publish_stream(
+        spark,
+        path,
+        s.BRONZE_TABLE,
+        s.BRONZE,
+        database=database,
+        comment=COMMENTS[s.BRONZE_TABLE],
+        quality="bronze",
+    )
+
+
 def refresh_tables(
     observations: DataFrame,
     root: str,
@@ -39,6 +55,7 @@ def refresh_tables(
     database: str | None = None,
     ranking_depth: int = s.RANKING_DEPTH,
     processed_at: dt.datetime | str | None = None,
+    accuracy: int = gold.MEDIAN_ACCURACY,
     silver_by_day: bool = False,
 ) -> dict[str, DataFrame]:
     """Recompute every table from observations (raw or bronze) and return them.
@@ -63,7 +80,7 @@ def refresh_tables(
 
     daily = put(s.SILVER_DAILY, silver.daily_metrics(observations, processed_at), "silver")
     fact = put(s.SILVER_FACT, silver.latest_version(daily), "silver")
-    golds = gold_tables(fact, ranking_depth)
+    golds = gold_tables(fact, ranking_depth, accuracy)
     with ThreadPoolExecutor(len(golds)) as pool:
         written = pool.map(lambda item: put(*item, "gold"), golds.items())
         return {

@@ -6,6 +6,8 @@ shared mistake is unlikely.
 
 from __future__ import annotations
 
+from tidemark import schema as s
+from tidemark.plans.market import COMMENTS
 from tidemark.plans.queries import (
     AS_OF,
     BACKFILL,
@@ -316,10 +318,25 @@ _QUALITY = """SELECT COUNT(*) AS linhas,
     AND TRY_CAST(total_volume AS DOUBLE) IS NULL) AS volume_rejeitado
 FROM obs"""
 
+_CATALOG = "\nUNION ALL ".join(
+    f"SELECT '{name}' AS tabela, {rows} AS linhas, '{COMMENTS[name]}' AS comentario, "
+    f"'{name.split('_')[0]}' AS qualidade FROM {source}"
+    for name, source, rows in (
+        (s.BRONZE_TABLE, "obs", "COUNT(*)"),
+        (s.SILVER_DAILY, "daily", "COUNT(*)"),
+        (s.SILVER_FACT, "fact", "COUNT(*)"),
+        (s.GOLD_RANKING, "ranking", "COUNT(*)"),
+        (s.GOLD_CHANGE, "fact", "COUNT(*)"),
+        (s.GOLD_MARKET, "fact", f"COUNT(DISTINCT {_DAY})"),
+        (s.GOLD_ASSET, "fact", "COUNT(DISTINCT id_moeda)"),
+    )
+)
+
 ORACLE: dict[str, str] = {
     "flagship": _with(
         *_TRADE_ASSET, _ranking(DEPTH), _CHANGE, _TOP_CAP, _TOP_VOLUME, _MARKET, then=_FLAGSHIP
     ),
+    "catalog_tables": _with(*_EVENT_FACT, _ranking(100), then=_CATALOG),
     "payload_flatten": """SELECT CAST(user_id AS VARCHAR) AS id, EPOCH_US(ts) // 1000 AS ts_ms,
   value AS current_price, value * 2 AS market_cap,
   CAST(event_id % 50 AS DOUBLE) AS total_volume FROM events""",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +13,7 @@ from tidemark.functions import numbers
 from tidemark.operators import bronze, gold, ingest, reports, silver
 from tidemark.plans.bindings import event_observations, table, trade_observations
 from tidemark.plans.ingestion import backfill_load, daily_load
-from tidemark.plans.market import refresh_tables
+from tidemark.plans.market import publish_bronze, refresh_tables
 from tidemark.sources import raw
 from tidemark.sources.files import store, work_path
 from tidemark.streaming import bronze as bronze_flow
@@ -87,12 +88,14 @@ def _without_clock(df: DataFrame) -> DataFrame:
 # --- raw ----------------------------------------------------------------------
 
 
-def _land_payloads(spark: SparkSession, folder: str) -> DataFrame:
+def _land_payloads(spark: SparkSession, folder: str, by_day: bool = False) -> DataFrame:
     """Events folded into range responses, landed as JSON and read back.
 
     A response holds one user's events of one block of 256 event ids, so no user's
-    whole history is ever gathered into a row.
+    whole history is ever gathered into a row; with `by_day` also of one day, and the
+    landing is laid out by it.
     """
+    days = [F.to_date("ts").alias(s.REQUEST_DAY)] if by_day else []
     epoch = F.lit("1970-01-01").cast("timestamp_ntz")
     millis = F.timestamp_diff("MILLISECOND", epoch, F.col("ts")).cast("double")
     point = F.struct(
@@ -103,17 +106,21 @@ def _land_payloads(spark: SparkSession, folder: str) -> DataFrame:
     )
     folded = (
         table(spark, folder, "events")
-        .groupBy("user_id", F.floor(F.col("event_id") / 256).alias("block"))
+        .groupBy("user_id", F.floor(F.col("event_id") / 256).alias("block"), *days)
         .agg(F.array_sort(F.collect_list(point)).alias("points"))
         .select(
             F.col("user_id").cast("string").alias("coin"),
             F.col("points.price").alias("prices"),
             F.col("points.cap").alias("market_caps"),
             F.col("points.volume").alias("total_volumes"),
+            *([s.REQUEST_DAY] if by_day else []),
         )
     )
     landing = work_path(spark, "payloads")
-    folded.write.json(landing)
+    if by_day:
+        folded.hint("rebalance", s.REQUEST_DAY).write.partitionBy(s.REQUEST_DAY).json(landing)
+    else:
+        folded.write.json(landing)
     return raw.read_payloads(spark, landing)
 
 
@@ -155,7 +162,7 @@ def ingest_backfill(spark: SparkSession, folder: str) -> DataFrame:
 def ingest_daily(spark: SparkSession, folder: str) -> DataFrame:
     """A first load, the days that follow it, and a run that finds nothing due."""
     path = work_path(spark, "raw")
-    landed = _land_payloads(spark, folder), _land_listing(spark, folder)
+    landed = _land_payloads(spark, folder, by_day=True), _land_listing(spark, folder)
     for as_of in DAILY_RUNS:
         daily_load(spark, *landed, path, as_of)
     return _by_instant(raw.read_raw(spark, path).select(s.OBSERVATION_COLUMNS))
@@ -485,10 +492,38 @@ def flagship(spark: SparkSession, folder: str) -> DataFrame:
     return controls
 
 
+def catalog_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """Every layer published under a name, then looked up by it: rows, comment and tag."""
+    names = ("raw", "bronze", "offsets", "tables", "catalog")
+    source, target, checkpoint, root, place = (work_path(spark, n) for n in names)
+    database = f"marts_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{place}'")
+    raw.write_raw(_events(spark, folder), source)
+    bronze_flow.bronze_stream(spark, source, target, checkpoint)
+    text = publish_bronze(spark, target, database)
+    tables = [s.BRONZE_TABLE, *refresh_tables(text, root, database=database)]
+    found = None
+    for name in tables:
+        about = {
+            r.col_name: r.data_type
+            for r in spark.sql(f"DESCRIBE TABLE EXTENDED {database}.{name}").collect()
+        }
+        tag = spark.sql(f"SHOW TBLPROPERTIES {database}.{name} ('quality')").first()
+        line = spark.table(f"{database}.{name}").agg(
+            F.lit(name).alias("tabela"),
+            F.count("*").alias("linhas"),
+            F.lit(about.get("Comment")).alias("comentario"),
+            F.lit(tag["value"]).alias("qualidade"),
+        )
+        found = line if found is None else found.unionByName(line)
+    return found
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         flagship,
+        catalog_tables,
         payload_flatten,
         ingest_backfill,
         ingest_daily,

@@ -33,6 +33,7 @@ PROCESSED_AT = "ts_processamento"
 FACT_COLUMNS = [DAY, ASSET, LABEL, TITLE, MEAN_PRICE, MEAN_CAP, MEAN_VOLUME]
 
 # table names and comments
+BRONZE_TABLE = "bronze_moeda"
 SILVER_DAILY = "silver_moeda_diaria"
 SILVER_FACT = "silver_fato_moeda_diaria"
 GOLD_RANKING = "gold_ranking_moedas_diario"
@@ -58,6 +59,9 @@ MONEY_DIGITS = 0
 # the version choice has a deterministic order. The fact drops it.
 LAST_SEEN = "ts_ultima_observacao"
 
+# Our own folder column of a landing that is laid out by the day that was requested.
+REQUEST_DAY = "request_day"
+
 OBSERVATION = T.StructType(
     [
         T.StructField(ID, T.StringType()),

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def publish(
@@ -17,8 +20,10 @@ def publish(
 ) -> DataFrame:
     """Replace table `name` under `root` with `df` and read it back.
 
-    With `database` the table also enters the catalog, carrying its comment and its
-    quality tag as a table property.
+    With `database` the table enters the catalog, carrying its comment and its quality
+    tag as a table property. Each refresh then writes to a folder of its own, and the
+    name moves there when it is complete: a refresh that fails leaves the table as it
+    was. Folders no name points to any more can be expired by age.
     """
     spark = df.sparkSession
     path = f"{root.rstrip('/')}/{name}"
@@ -31,17 +36,51 @@ def publish(
         writer.parquet(path)
         return spark.read.schema(df.schema).parquet(path)
 
+    path = f"{path}/{uuid.uuid4().hex}"
+    writer.parquet(path)
     table = f"{database}.{name}"
-    writer.format("parquet").option("path", path).saveAsTable(table)
-    if comment:
-        spark.sql(f"COMMENT ON TABLE {table} IS {_text(comment)}")
-    if quality:
-        spark.sql(
-            f"ALTER TABLE {table} SET TBLPROPERTIES ('quality' = {_text(quality)})"
-        )
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")  # its files stay: it owns none
+    spark.sql(
+        f"CREATE TABLE {table} ({columns}) USING parquet "
+        + (f"PARTITIONED BY (`{partition_by}`) " if partition_by else "")
+        + f"LOCATION {_text(path)} {_described(comment, quality)}"
+    )
+    if partition_by:
+        spark.catalog.recoverPartitions(table)
     return spark.table(table)
 
 
+def publish_stream(
+    spark: SparkSession,
+    path: str,
+    name: str,
+    schema: T.StructType,
+    *,
+    database: str,
+    comment: str | None = None,
+    quality: str | None = None,
+) -> DataFrame:
+    """Name the files a stream appends to in the catalog, with comment and quality tag.
+
+    The name is a view of the path, so every read goes by the sink's own record of
+    complete batches; a table over the same folder would show files of failed ones.
+    """
+    columns = ", ".join(f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema)
+    view = f"{database}.{name}"
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {view} {_described(comment, quality)} "
+        f"AS SELECT {columns} FROM parquet.`{path}`"
+    )
+    return spark.table(view)
+
+
+def _described(comment: str | None, quality: str | None) -> str:
+    parts = [f"COMMENT {_text(comment)}"] if comment else []
+    parts += [f"TBLPROPERTIES ('quality' = {_text(quality)})"] if quality else []
+    return " ".join(parts)
+
+
 def _text(value: str) -> str:
     escaped = value.replace("\\", "\\\\").replace("'", "\\'")
     return f"'{escaped}'"
