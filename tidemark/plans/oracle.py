@@ -11,6 +11,7 @@ from tidemark.plans.market import COMMENTS
 from tidemark.plans.queries import (
     AS_OF,
     BACKFILL,
+    CONTROLS,
     DEPTH,
     OVERLAP_FROM,
 )
@@ -241,31 +242,15 @@ def _widget(source: str, column: str) -> str:
 _WITHOUT_SEEN = "SELECT * EXCLUDE (seen) FROM daily"
 
 
-def _control(name: str, source: str, first: str, last: str, figure: str) -> str:
-    return (
-        f"SELECT '{name}' AS tabela, COUNT(*) AS linhas, MIN({first}) AS primeiro_dia, "
-        f"MAX({last}) AS ultimo_dia, {_sum(figure)} AS total_controle FROM {source}"
-    )
-
+_SOURCES = ("daily", "fact", "ranking", "change", "market", "asset")
 
 _DAY = "data_referencia"
 _FLAGSHIP = "\nUNION ALL ".join(
-    [
-        _control("silver_moeda_diaria", "daily", _DAY, _DAY, "preco_medio_usd"),
-        _control("silver_fato_moeda_diaria", "fact", _DAY, _DAY, "valor_mercado_medio_usd"),
-        _control("gold_ranking_moedas_diario", "ranking", _DAY, _DAY, "rank_volume"),
-        _control("gold_variacao_preco_d1", "change", _DAY, _DAY, "variacao_pct_d1"),
-        _control(
-            "gold_resumo_mercado_diario", "market", _DAY, _DAY, "preco_mediano_geral_usd"
-        ),
-        _control(
-            "gold_resumo_moeda",
-            "asset",
-            "data_primeiro_dia",
-            "data_ultimo_dia",
-            "variacao_percentual_total",
-        ),
-    ]
+    f"SELECT '{name}' AS tabela, COUNT(*) AS linhas, MIN({first}) AS primeiro_dia, "
+    f"MAX({last}) AS ultimo_dia, '{figure}' AS coluna, {_sum(figure)} AS total_controle "
+    f"FROM {source}"
+    for source, (name, (first, last, figures)) in zip(_SOURCES, CONTROLS.items(), strict=True)
+    for figure in figures
 )
 
 _BRONZE = """SELECT id, symbol, name, CAST("timestamp" AS VARCHAR) AS "timestamp",

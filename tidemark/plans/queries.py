@@ -461,34 +461,81 @@ def widget_share(spark: SparkSession, folder: str) -> DataFrame:
 
 # --- all layers ---------------------------------------------------------------
 
-# per table: first day, last day, control figure
-_CONTROLS = {
-    s.SILVER_DAILY: (s.DAY, s.DAY, s.MEAN_PRICE),
-    s.SILVER_FACT: (s.DAY, s.DAY, s.MEAN_CAP),
-    s.GOLD_RANKING: (s.DAY, s.DAY, "rank_volume"),
-    s.GOLD_CHANGE: (s.DAY, s.DAY, "variacao_pct_d1"),
-    s.GOLD_MARKET: (s.DAY, s.DAY, "preco_mediano_geral_usd"),
-    s.GOLD_ASSET: ("data_primeiro_dia", "data_ultimo_dia", "variacao_percentual_total"),
+_MEANS = (s.MEAN_PRICE, s.MEAN_CAP, s.MEAN_VOLUME)
+
+# per table: first day, last day, and every column with numbers
+CONTROLS = {
+    s.SILVER_DAILY: (s.DAY, s.DAY, _MEANS),
+    s.SILVER_FACT: (s.DAY, s.DAY, _MEANS),
+    s.GOLD_RANKING: (s.DAY, s.DAY, (*_MEANS, *gold.RANKS)),
+    s.GOLD_CHANGE: (
+        s.DAY,
+        s.DAY,
+        (s.MEAN_PRICE, "preco_medio_ontem_usd", "variacao_abs_d1_usd", "variacao_pct_d1"),
+    ),
+    s.GOLD_MARKET: (
+        s.DAY,
+        s.DAY,
+        (
+            "qtd_moedas",
+            "valor_mercado_total_usd",
+            "volume_total_usd",
+            "preco_medio_geral_usd",
+            "preco_mediano_geral_usd",
+            "valor_mercado_medio_por_moeda_usd",
+            "volume_medio_por_moeda_usd",
+            "top_valor_mercado_usd",
+            "top_volume_usd",
+        ),
+    ),
+    s.GOLD_ASSET: (
+        "data_primeiro_dia",
+        "data_ultimo_dia",
+        (
+            "qtd_dias_com_dados",
+            "preco_medio_historico_usd",
+            "preco_min_historico_usd",
+            "preco_max_historico_usd",
+            "preco_primeiro_dia_usd",
+            "preco_ultimo_dia_usd",
+            "variacao_percentual_total",
+            "valor_mercado_medio_historico_usd",
+            "volume_medio_historico_usd",
+            "valor_mercado_ultimo_dia_usd",
+            "volume_ultimo_dia_usd",
+            "valor_mercado_medio_historico_bi_usd",
+            "volume_medio_historico_bi_usd",
+            "valor_mercado_ultimo_dia_bi_usd",
+            "volume_ultimo_dia_bi_usd",
+        ),
+    ),
 }
 
 
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
-    """Refresh every table from bronze text, then report row count, days covered and a
-    control total of each."""
+    """Refresh every table from bronze text, then report row count, days covered and the
+    total of each column with numbers."""
     rows = raw.with_load_partitions(trade_observations(spark, folder))
     tables = refresh_tables(
         bronze.to_bronze(rows), work_path(spark, "tables"), ranking_depth=DEPTH
     )
     controls = None
-    for name, (first, last, figure) in _CONTROLS.items():
-        line = tables[name].agg(
-            F.lit(name).alias("tabela"),
-            F.count("*").alias("linhas"),
-            F.min(first).alias("primeiro_dia"),
-            F.max(last).alias("ultimo_dia"),
-            numbers.exact_sum(figure).alias("total_controle"),
+    for name, (first, last, figures) in CONTROLS.items():
+        totals = [
+            F.struct(F.lit(c).alias("coluna"), numbers.exact_sum(c).alias("total_controle"))
+            for c in figures
+        ]
+        lines = (
+            tables[name]
+            .agg(
+                F.count("*").alias("linhas"),
+                F.min(first).alias("primeiro_dia"),
+                F.max(last).alias("ultimo_dia"),
+                F.array(*totals).alias("totais"),
+            )
+            .select(F.lit(name).alias("tabela"), "linhas", "primeiro_dia", "ultimo_dia", F.inline("totais"))
         )
-        controls = line if controls is None else controls.unionByName(line)
+        controls = lines if controls is None else controls.unionByName(lines)
     return controls
 
 
