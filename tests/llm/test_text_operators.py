@@ -214,6 +214,14 @@ def test_near_duplicates_by_brute_force(spark, odd, none, monkeypatch):
     assert near_dups.near_duplicates(none).count() == 0 and near_dups.keep_one(none).count() == 0
 
 
+def test_groups_with_one_class_id_keep_a_row_each(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(20)) for x in "abcd")
+    rows = [(None, a), (None, a), (None, b), (None, b), (1, c), (2, c), (1, d), (3, d), (3, d), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.text or "", r.doc_id or 0) for r in near_dups.keep_one(df).collect())
+    assert got == [("", 0), (a, 0), (b, 0), (c, 1), (d, 1)]
+
+
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (7, 7)], "a int, b int")
     got = {r.node: r.root for r in components(edges).collect()}

@@ -218,8 +218,9 @@ def near_duplicates(
     similarity: float = SIMILARITY,
     recall: float = RECALL,
 ) -> DataFrame:
-    """`id`, `text_hash` (xxhash64 of the text), `class_id`, `n_links` and `n_class` (documents
-    with an equal shingle set, itself included) of every row."""
+    """`id`, `text_hash` (xxhash64 of the text), `class_id`, `class_hash` (the least text hash
+    under the class id in the group), `n_links` and `n_class` (documents with an equal shingle
+    set, itself included) of every row."""
     depth = forest_depth(similarity, recall)
     rows = store(_classes(docs, id_column, text_column, size, depth), "near-dups")
     # equal sets have equal paths, so any row of a class stands for it
@@ -259,13 +260,17 @@ def near_duplicates(
         joined = components(across.select("a", "b")).select(F.col("node").alias("key"), F.col("root").alias("top"))
         linked = linked.join(joined, "key", "left").withColumn("root", F.coalesce("top", "root"))
     placed = (
-        classes.select("key", "weight", "id")
+        classes.select("key", "weight", "id", "text_hash")
         .join(linked, "key", "left")
-        .select("key", "weight", "id", "links", F.coalesce("root", "key").alias("root"))
+        .select("key", "weight", "id", "text_hash", "links", F.coalesce("root", "key").alias("root"))
+    )
+    ids = (
+        placed.groupBy("root")
+        .agg(F.min(F.struct(F.col("id").isNull(), "id", "text_hash")).alias("first"))
+        .select("root", F.col("first.id").alias("class_id"), F.col("first.text_hash").alias("class_hash"))
     )
-    ids = placed.groupBy("root").agg(F.min("id").alias("class_id"))
     known = placed.join(ids, "root").select(
-        "key", "class_id", "weight", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links")
+        "key", "class_id", "class_hash", "weight", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links")
     )
     return (
         rows.select("id", "text_hash", "key")
@@ -274,6 +279,7 @@ def near_duplicates(
             "id",
             "text_hash",
             F.when(F.col("key").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
+            F.coalesce("class_hash", "text_hash").alias("class_hash"),
             F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
             F.coalesce("weight", F.lit(1)).cast("bigint").alias("n_class"),
         )
@@ -316,27 +322,16 @@ def _verified(sets: DataFrame, similarity: float) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The rows of `docs` with one document of each group, the one with the least id.
-    Rows without words are all kept."""
+    """The rows of `docs` with one document of each group, the one with the least id and,
+    if that comes twice, the least text hash. Rows without words are all kept."""
     found = near_duplicates(docs, id_column, text_column)
-    # only rows of groups of two or more are looked at again
-    grouped = found.where("n_links > 0").select(
-        F.col("id").alias("_near_id"),
-        F.col("text_hash").alias("_near_hash"),
-        F.col("id").eqNullSafe(F.col("class_id")).alias("_near_first"),
-    )
-    # a class id that comes twice in a group: one text of it stays, then one row
-    once = found.where("n_links > 0 and id <=> class_id").groupBy("class_id").agg(
-        F.min("text_hash").alias("text_hash")
-    )
+    # only rows of groups of two or more are looked at again; a text is in one group only,
+    # so the id and the hash tell a group's first also where groups share a class id
+    first = F.col("id").eqNullSafe(F.col("class_id")) & (F.col("text_hash") == F.col("class_hash"))
     grouped = (
-        grouped.join(
-            once.select(F.col("class_id").alias("_c"), F.col("text_hash").alias("_h")),
-            F.col("_near_id").eqNullSafe(F.col("_c")) & (F.col("_near_hash") == F.col("_h")) & F.col("_near_first"),
-            "left",
-        )
-        .groupBy("_near_id", "_near_hash")
-        .agg(F.max(F.col("_h").isNotNull()).alias("_near_keep"))
+        found.where("n_links > 0")
+        .groupBy(F.col("id").alias("_near_id"), F.col("text_hash").alias("_near_hash"))
+        .agg(F.max(first).alias("_near_keep"))
     )
     marked = docs.withColumn("_near_text", F.xxhash64(text_column)).join(
         grouped,
