@@ -222,6 +222,13 @@ def test_groups_with_one_class_id_keep_a_row_each(spark):
     assert got == [("", 0), (a, 0), (b, 0), (c, 1), (d, 1)]
 
 
+def test_near_duplicates_at_the_threshold_are_found(spark):
+    # 90 shingles each and 80 in common: a similarity of exactly 0.8
+    pairs = [[" ".join([f"p{k}w{i}" for i in range(84)] + [f"p{k}{side}{i}" for i in range(10)]) for side in "ab"] for k in range(1500)]
+    df = spark.createDataFrame([(2 * k + n, t) for k, pair in enumerate(pairs) for n, t in enumerate(pair)], "doc_id long, text string")
+    assert near_dups.near_duplicates(df).where("n_links != 1").count() == 0
+
+
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (7, 7)], "a int, b int")
     got = {r.node: r.root for r in components(edges).collect()}

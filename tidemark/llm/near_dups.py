@@ -1,13 +1,15 @@
 """All pairs of texts whose five-word shingles have a Jaccard similarity of 0.8 or more,
 as links counted per document and as groups of linked documents.
 
-Method: MinHash LSH forest. A text's signature is TREES sequences of up to DEPTH minimum
-hashes; each sequence is a path in the prefix trie of its tree. Two texts of similarity s
-share a prefix of length d in at least one tree with probability 1 - (1 - s^d)^TREES, so
-the matched prefixes are shortened, starting from the full depth, until that reaches the
-target recall at the threshold (`forest_depth`). Texts that share such a prefix are
-candidates: sorting the trie's paths puts them next to each other, here by one grouping on
-a hash of the prefix. What survives is verified exactly on the shingle sets.
+Method: MinHash LSH with paths of one depth. A text's signature is TREES sequences of
+minimum hashes, the paths of a MinHash forest. Two texts of similarity s share a prefix of
+length d in at least one tree with probability 1 - (1 - s^d)^TREES; `forest_depth` takes
+the longest d, of at most DEPTH, that reaches the target recall at the threshold. It follows
+from the constants, not from the rows: every link counts, so no text may stop at a longer
+prefix, and whatever shares a longer one shares this one too. Texts that share the prefix
+are candidates, by one grouping on its hash, without sorted tries. With 24 trees the depth is
+4: a pair at exactly 0.8 shares no prefix with probability 3.2e-6, a closer one with less.
+What survives is verified exactly on the shingle sets.
 
 Without expanding copies: texts with equal shingle sets form a class, one row from there
 on. Each prefix links its classes to one of them, not all to all, and the connected
@@ -43,8 +45,8 @@ from tidemark.sources.files import store
 
 SHINGLE = 5
 SIMILARITY = 0.8
-RECALL = 0.99
-TREES = 12
+RECALL = 0.99999
+TREES = 24
 DEPTH = 8
 CHUNK_TEXTS = 512
 CHUNK_SHINGLES = 1 << 20
