@@ -29,8 +29,9 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without their site's boilerplate lines; n_chars follows the text."""
-    kept = line_dedup.drop_boilerplate(docs)
+    """Documents without their site's boilerplate lines; n_chars follows the text. Copies of
+    a page count once, as a copied document is left to the next stage."""
+    kept = line_dedup.drop_boilerplate(docs, copies=False)
     new = {"text": F.col("text"), "n_chars": F.length("text").cast(docs.schema["n_chars"].dataType)}
     return kept.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 

@@ -174,6 +174,22 @@ def test_lines_go_by_site(spark, odd, none):
     assert "Python" not in wide._jdf.queryExecution().toString()
 
 
+def test_copied_document_is_not_boilerplate(spark):
+    clean = "\n".join(f"clean line {i} of a document that is copied" for i in range(6))
+    rows = [(i, clean, "a") for i in range(10)]
+    rows += [(100 + i, f"menu\nstory {i} " + hashlib.md5(str(i).encode()).hexdigest(), "a") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("n_chars", F.length("text"))
+    cut = corpus_pipeline.lines(spark, docs, "")
+    for n in (0, 100):
+        found = line_dedup.boilerplate(docs, broadcast_lines=n, copies=False).collect()
+        assert [(r.host, r.pages, len(r.lines)) for r in found] == [("a", 21, 1)]
+    got = {r.doc_id: r for r in cut.collect()}
+    assert len(got) == 30 and all(got[i].text == clean and got[i].n_chars == len(clean) for i in range(10))
+    assert all("menu" not in got[100 + i].text for i in range(20))
+    kept = corpus_pipeline.near_duplicates(spark, cut, "").collect()
+    assert [r.doc_id for r in kept if r.text == clean] == [0] and all(r.text for r in kept)
+
+
 def test_toxicity_held_out(spark, odd, none):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")

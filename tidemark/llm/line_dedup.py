@@ -20,7 +20,9 @@ at both ends for comparison; lines that are empty then are never dropped.
 Edge cases: null text stays null and counts as a page without lines; an empty text stays
 empty; a text of boilerplate only becomes empty; null hosts are one host; each row is a
 page, so a repeated row counts again; an empty table gives no rows. Columns of any other
-name pass through.
+name pass through. With `copies=False` the pages of a host that have the same text count
+as one page, so that a document is not taken for boilerplate because it is copied; the
+lines that rows make common are then counted again by the hash of their page's text.
 """
 
 from __future__ import annotations
@@ -44,25 +46,43 @@ def _trimmed(line: Column) -> Column:
 
 
 def boilerplate(
-    docs: DataFrame, host: str = "source", text: str = "text", ratio: float = RATIO, min_pages: int = MIN_PAGES
+    docs: DataFrame,
+    host: str = "source",
+    text: str = "text",
+    ratio: float = RATIO,
+    min_pages: int = MIN_PAGES,
+    broadcast_lines: int = BROADCAST_LINES,
+    copies: bool = True,
 ) -> DataFrame:
     """`host`, `pages` and `lines`, the keys of the boilerplate, of each host that has any."""
-    page = docs.select(F.col(host).alias("host"), F.col(text).alias("text"))
-    totals = page.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    page = docs.select(F.col(host).alias("host"), F.col(text).alias("text"), F.xxhash64(text).alias("page"))
+    of_host = page.select("host", "page")
+    totals = (of_host if copies else of_host.distinct()).groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
     lines = F.array_distinct(F.transform(F.split("text", "\n"), lambda x: _trimmed(x)))
-    return (
-        page.select("host", F.explode(lines).alias("line"))
+    keys = (
+        page.select("host", "page", F.explode(lines).alias("line"))
         .where(F.col("line") != "")
-        .select("host", _key(F.col("line")).alias("key"))
-        .groupBy("host", "key")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") >= min_pages)
-        .join(totals.withColumnRenamed("host", "of"), F.col("host").eqNullSafe(F.col("of")))
-        .where(F.col("n") > F.lit(ratio) * F.col("pages"))
-        .groupBy("host")
-        .agg(F.max("pages").alias("pages"), F.collect_list("key").alias("lines"))
+        .select("host", "page", _key(F.col("line")).alias("key"))
     )
 
+    def common(given: DataFrame) -> DataFrame:
+        return (
+            given.groupBy("host", "key")
+            .agg(F.count(F.lit(1)).alias("n"))
+            .where(F.col("n") >= min_pages)
+            .join(totals.withColumnRenamed("host", "of"), F.col("host").eqNullSafe(F.col("of")))
+            .where(F.col("n") > F.lit(ratio) * F.col("pages"))
+        )
+
+    found = common(keys)
+    if not copies:
+        # a line has no more texts than rows, so only these lines are counted by text
+        some = store(found.select(F.col("host").alias("of"), F.col("key").alias("line")), "lines")
+        some = F.broadcast(some) if some.count() <= broadcast_lines else some
+        same = F.col("host").eqNullSafe(F.col("of")) & (F.col("key") == F.col("line"))
+        found = common(keys.join(some, same).select("host", "page", "key").distinct())
+    return found.groupBy("host").agg(F.max("pages").alias("pages"), F.collect_list("key").alias("lines"))
+
 
 def drop_boilerplate(
     docs: DataFrame,
@@ -71,11 +91,12 @@ def drop_boilerplate(
     ratio: float = RATIO,
     min_pages: int = MIN_PAGES,
     broadcast_lines: int = BROADCAST_LINES,
+    copies: bool = True,
 ) -> DataFrame:
     """`row` (a struct of all columns), `text` without boilerplate lines, `n_lines` of the
     text as given and `n_dropped`, of every row."""
     found = store(
-        boilerplate(docs, host, text, ratio, min_pages).select(F.col("host").alias("of"), "lines"), "lines"
+        boilerplate(docs, host, text, ratio, min_pages, broadcast_lines, copies).select(F.col("host").alias("of"), "lines"), "lines"
     )
     held = found.agg(F.sum(F.size("lines"))).first()[0] or 0
     if held <= broadcast_lines:
