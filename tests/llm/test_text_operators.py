@@ -280,6 +280,13 @@ def test_language_held_out(spark, odd, none):
     assert language_id.predict_language(none, docs, ["doc_id"]).count() == 0
 
 
+def test_language_sample_takes_copies_once(spark):
+    rows = [(label, f"{label} text number {i}") for label in ("aa", "bb") for i in range(10)]
+    df = spark.createDataFrame(rows * 20, "lang string, text string")
+    texts, labels = language_id.sample(df, rows=16)
+    assert len(set(texts)) == len(texts) == 16 and Counter(labels) == {"aa": 8, "bb": 8}
+
+
 def test_secrets_by_brute_force(spark, odd, none):
     keys = ["AKIA" + hashlib.md5(str(i).encode()).hexdigest()[:16].upper() for i in range(60)]
     rows = [(i, f'é token: token = "{k}" and {hashlib.md5(k.encode()).hexdigest()}') for i, k in enumerate(keys)]

@@ -114,26 +114,26 @@ def _narrow(slices, rows: int = 128):
 def sample(
     docs: DataFrame, rows: int = SAMPLE_ROWS, text_column: str = "text", label_column: str = "lang"
 ) -> tuple[list[str], list[str]]:
-    """Texts and labels of at most `rows` labelled rows, in turn from each label."""
+    """At most `rows` distinct texts and their labels, in turn from each label."""
     order = Window.partitionBy("label").orderBy("hash")
     known = docs.select(
         F.col(label_column).cast("string").alias("label"),
         F.col(text_column).alias("text"),
         F.xxhash64(text_column).alias("hash"),
     ).where(F.col("label").isNotNull() & F.col("text").rlike(r"\p{L}") & (F.octet_length("text") <= SAMPLE_BYTES))
-    # Of each label, the rows of the least hashes: as many as give twice the sample on
-    # average, so what is then put in order is bounded for a label of any size.
-    counts = known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "label").limit(rows)
+    # Of each label, the texts of the least hashes: as many as give twice the sample on
+    # average, so what is then put in order is bounded for a label of any size. Copies
+    # of a text are one.
+    texts = known.select("label", "hash").distinct()
+    counts = texts.groupBy("label").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "label").limit(rows)
     share = F.pmod("hash", F.lit(1 << 20)) * F.col("n") < F.lit(2 * rows * (1 << 20))
     chosen = (
-        known.select("label", "hash")
-        .join(F.broadcast(counts), "label")
+        texts.join(F.broadcast(counts), "label")
         .where(share)
         .withColumn("turn", F.row_number().over(order))
         .orderBy("turn", "label")
         .limit(rows)
         .select("label", "hash")
-        .distinct()
     )
     # at most `rows` pairs of a label and a hash, so their size is bounded
     found = (
