@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import (
     decontamination,
+    exact_dups,
+    fill_in_middle,
     language_id,
     line_dedup,
     near_dups,
@@ -18,9 +20,11 @@ from tidemark.llm import (
     token_counts,
     topk,
     toxicity,
+    whitening,
     word_bpe,
 )
 from tidemark.llm.rows import fold, table
+from tidemark.sources.files import store
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -110,6 +114,42 @@ def op10_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_bpe.digests(word_bpe.decode(word_bpe.encode(docs, WORD_VOCABULARY), WORD_VOCABULARY))
 
 
+def op11_exact_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact_dups.exact_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "keep_id",
+        F.col("n_group").alias("group_size"),
+        "kept",
+        F.lower(F.hex("digest")).alias("text_sha256"),
+    )
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whitened = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return whitened.select(
+        F.col("id").alias("vec_id"),
+        "n",
+        F.col("deviation").cast("bigint").alias("deviation"),
+        "identity_error",
+        F.posexplode(F.arrays_zip("whitened", "explained")).alias("place", "part"),
+    ).select(
+        "vec_id",
+        (F.col("place") + 1).alias("component"),
+        "n",
+        "deviation",
+        F.col("part.whitened").alias("whitened"),
+        F.col("part.explained").alias("explained"),
+        "identity_error",
+    )
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    framed = store(fill_in_middle.frame_texts(table(spark, sf_dir, "documents")), "frames")
+    examples = fill_in_middle.digests(fill_in_middle.fill_in_middle(framed))
+    return examples.withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -123,6 +163,9 @@ QUERIES: dict[str, Query] = {
         op8_language_id,
         op9_secret_scan,
         op10_word_bpe,
+        op11_exact_dups,
+        op12_whitening,
+        op13_fill_in_middle,
     )
 }
 
@@ -228,4 +271,46 @@ ORACLE: dict[str, str] = {
                coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated
         FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
     """,
+    "op11_exact_dups": r"""
+        WITH given AS (
+            SELECT doc_id, coalesce(text, '') AS t,
+                   regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS bare
+            FROM documents
+        ), placed AS (
+            SELECT doc_id, bare, first_value(doc_id) OVER best AS keep_id, row_number() OVER best AS place,
+                   count(*) OVER (PARTITION BY bare) AS group_size
+            FROM given
+            WINDOW best AS (PARTITION BY bare ORDER BY length(t) DESC, doc_id NULLS LAST)
+        )
+        SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(bare) AS text_sha256 FROM placed
+    """,
+    "op13_fill_in_middle": f"""
+        WITH given AS (
+            SELECT doc_id, coalesce(text, '') AS t,
+                   sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+            FROM documents
+        ), drawn AS (
+            SELECT doc_id, t, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]') AS w,
+                   CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+                   CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4
+            FROM given
+        ), cut AS (
+            SELECT doc_id, t, w, len(w) AS n, least(h1 % (len(w) + 1), h2 % (len(w) + 1)) AS a,
+                   greatest(h1 % (len(w) + 1), h2 % (len(w) + 1)) AS b,
+                   CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                             OR h3 % 100 >= {100 - fill_in_middle.PLAIN_PERCENT} THEN 'plain'
+                        WHEN h4 % 100 < {fill_in_middle.SPM_PERCENT} THEN 'spm' ELSE 'psm' END AS form
+            FROM drawn
+        ), parts AS (
+            SELECT doc_id, t, n, form, array_to_string(w[1:a], '') AS p,
+                   array_to_string(w[a + 1:b], '') AS m, array_to_string(w[b + 1:], '') AS s
+            FROM cut
+        )
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                      ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+               sha256(t) AS restored_sha256
+        FROM parts
+    """,
 }
