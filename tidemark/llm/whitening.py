@@ -11,10 +11,12 @@ Covariances have the divisor n. Components are numbered by falling eigenvalue; a
 largest entry of an eigenvector positive.
 
 Sizes: the driver and each task hold the square of the dimensions and one block of
-`BLOCK_ROWS` rows at a time; the scatter product is split over as many tasks as the row
-blocks allow, and their partial squares are added up. Rows find their vector's result by a digest of the
-vector: vectors with more than one row in `HOT_SHARE`, of which there are at most `HOT_SHARE`, by
-broadcast, all others by a shuffle.
+`BLOCK_ROWS` rows (or as many more as keep the matrix at `MOST_BLOCKS` blocks, up to 64 times
+as many) at a time; MLlib plans a product on the driver, by the coordinates of the blocks.
+The scatter product is split over as many tasks as the row blocks allow, and their partial
+squares are added up. Rows find their vector's result by a digest of the vector: vectors
+with more than one row in `HOT_SHARE`, of which there are at most `HOT_SHARE`, by broadcast,
+all others by a shuffle.
 
 Edge cases: vectors that are null or hold a null or non-finite component take no part, nor
 do those of another length than most vectors have (the longer one on a tie) or of none;
@@ -27,6 +29,7 @@ read, whatever the others are called.
 from __future__ import annotations
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.mllib.common import callMLlibFunc
 from pyspark.mllib.linalg import DenseMatrix
@@ -43,6 +46,7 @@ SCALE = 64
 SHIFT = 1_000_000
 
 BLOCK_ROWS = 1024
+MOST_BLOCKS = 50_000
 HOT_SHARE = 10_000
 
 # a sum of squares below this is exact in a long
@@ -74,13 +78,24 @@ def numbered(df: DataFrame, name: str) -> DataFrame:
     )
 
 
+def rows_per_block(n: int, block_rows: int = BLOCK_ROWS) -> int:
+    """`block_rows`, and more where that made more than `MOST_BLOCKS` blocks, up to 64 times."""
+    return min(max(block_rows, -(-n // MOST_BLOCKS)), 64 * block_rows)
+
+
 def block_matrix(rows: DataFrame, n: int, width: int, block_rows: int = BLOCK_ROWS) -> BlockMatrix:
-    """Rows (index, values as array of doubles) as blocks of `block_rows` rows."""
+    """Rows (index, values as array of doubles) as blocks of `block_rows` rows. Each product
+    reads the blocks several times, so they are kept until `release`; lost ones are made
+    again from the stored rows."""
     vectors = MLUtils.convertVectorColumnsFromML(
         rows.select(F.col("index").cast("bigint"), array_to_vector("values").alias("vector")), "vector"
     )
     indexed = IndexedRowMatrix(callMLlibFunc("createIndexedRowMatrix", vectors, n, width))
-    return indexed.toBlockMatrix(block_rows, max(width, 1))
+    return indexed.toBlockMatrix(block_rows, width).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def release(matrix: BlockMatrix) -> None:
+    matrix._java_matrix_wrapper._java_model.blocks().unpersist(False)
 
 
 def scatter(matrix: BlockMatrix, splits: int) -> np.ndarray:
@@ -177,13 +192,18 @@ def whiten(
         ),
         "centred",
     )
+    block_rows = rows_per_block(n, block_rows)
     matrix = block_matrix(centred, n, width, block_rows)
     splits = max(1, min(-(-n // block_rows), int(spark.conf.get("spark.sql.shuffle.partitions"))))
     by, explained = whitening_matrix(scatter(matrix, splits) / n, components)
     if not len(explained):
+        release(matrix)
         return spark.createDataFrame([], result)
     projected = store(rows_of(project(matrix, by)), "projected")
-    again = scatter(block_matrix(projected, n, len(explained), block_rows), splits) / n
+    release(matrix)
+    matrix = block_matrix(projected, n, len(explained), block_rows)
+    again = scatter(matrix, splits) / n
+    release(matrix)
     error = float(np.abs(again - np.eye(len(explained))).max())
 
     ready = store(
