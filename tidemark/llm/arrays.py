@@ -32,9 +32,11 @@ LETTERED = np.zeros(256, bool)
 LETTERED[48:58] = LETTERED[65:91] = LETTERED[97:123] = LETTERED[128:] = True
 
 
-def texts_of(batch: pa.RecordBatch, column: str = "text") -> pa.Array:
-    """The column as 64-bit offset strings, null as the empty text."""
-    return pc.fill_null(batch.column(column).cast(pa.large_string()), "")
+def texts_of(batch: pa.RecordBatch, column: str | tuple[str, int] = "text") -> pa.Array:
+    """The column, or the field of that place in a struct column, as 64-bit offset strings,
+    null as the empty text."""
+    given = batch.column(column) if isinstance(column, str) else batch.column(column[0]).field(column[1])
+    return pc.fill_null(given.cast(pa.large_string()), "")
 
 
 def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -58,7 +60,7 @@ def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int
         start = stop
 
 
-def batches(stream, column: str = "text", limit: int = SLICE_BYTES):
+def batches(stream, column: str | tuple[str, int] = "text", limit: int = SLICE_BYTES):
     """(rows, texts, bytes, offsets) of each slice of each batch of a task."""
     for batch in stream:
         texts = texts_of(batch, column)

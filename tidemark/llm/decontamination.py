@@ -29,11 +29,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm import arrays
+from tidemark.llm.rows import with_text
 from tidemark.sources.files import store
 
 WINDOW = 13
 GRAM = 6
-SLICE_BYTES = 32 << 20
+SLICE_BYTES = 8 << 20  # the index takes some 50 times as much on the driver
 
 STATE = T.StructType(
     [
@@ -156,35 +157,33 @@ def contamination(
     ).where("text is not null")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     slices = max(1, -(-total // slice_bytes))
-    rows = docs.select(
-        F.struct(*[docs[c] for c in keep]).alias("row"), docs[text_column].alias("text")
-    )
+    rows, text = with_text(docs, keep, text_column)
     for i in range(slices):
         part = items if slices == 1 else items.where(F.pmod(F.xxhash64("id", "text"), F.lit(slices)) == i)
         index = spark.sparkContext.broadcast(
             Index([(r["id"], r["text"]) for r in part.distinct().collect()])
         )
-        rows = _with_hits(rows, index)
+        rows = _with_hits(rows, text, index, last=i + 1 == slices)
         if i + 1 < slices:
             rows = store(rows, "decontamination")
     return rows.select("row", "found")
 
 
-def _with_hits(rows: DataFrame, index) -> DataFrame:
+def _with_hits(rows: DataFrame, at: str | tuple[str, int], index, last: bool) -> DataFrame:
+    """The rows with their hits so far; a text of its own goes with the last slice."""
     carried = "found" in rows.columns
-    schema = T.StructType(
-        [rows.schema["row"], rows.schema["text"], T.StructField("found", STATE)]
-    )
+    kept = [f for f in rows.schema.fields if f.name == "row" or (f.name == "text" and not last)]
+    schema = T.StructType([*kept, T.StructField("found", STATE)])
 
     def run(stream):
-        for batch, _, data, offsets in arrays.batches(stream, "text"):
+        for batch, _, data, offsets in arrays.batches(stream, at):
             hashes, first = hashed_words(data, offsets)
             hit, text, owner = index.value.scan(hashes, first)
             ids: list[set[str]] = [set() for _ in range(len(batch))]
             for t, o in zip(text.tolist(), owner.tolist(), strict=True):
                 ids[t].add(index.value.ids[o])
             if carried:
-                before = batch.column(2).to_pylist()
+                before = batch.column("found").to_pylist()
                 for t, found in enumerate(before):
                     ids[t].update(found["items"])
                     for span in found["hits"]:
@@ -193,9 +192,7 @@ def _with_hits(rows: DataFrame, index) -> DataFrame:
                 [pa.array(np.diff(first)), _spans(hit, first), pa.array([sorted(i) for i in ids], pa.list_(pa.string()))],
                 names=["n_words", "hits", "items"],
             )
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), found], names=["row", "text", "found"]
-            )
+            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), found], names=list(schema.names))
 
     return rows.mapInArrow(run, schema)
 

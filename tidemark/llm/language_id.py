@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm import arrays
+from tidemark.llm.rows import with_text
 
 UNKNOWN = "und"
 SPANS = (1, 2, 3)
@@ -151,11 +152,8 @@ def predict_language(
 ) -> DataFrame:
     """`row` (a struct of the columns in `keep`), lang_pred and score of every row."""
     model = docs.sparkSession.sparkContext.broadcast(Model(*sample(learn_from, rows, text_column)))
-    given = docs.select(
-        F.struct(*[docs[c] for c in keep]).alias("row"),
-        F.coalesce(docs[text_column].rlike(r"\p{L}"), F.lit(False)).alias("lettered"),
-        docs[text_column].alias("text"),
-    )
+    lettered = F.coalesce(docs[text_column].rlike(r"\p{L}"), F.lit(False)).alias("lettered")
+    given, text = with_text(docs, keep, text_column, lettered)
     schema = T.StructType(
         [
             given.schema["row"],
@@ -166,7 +164,7 @@ def predict_language(
 
     def run(stream):
         fitted = model.value
-        for batch, _, data, offsets in _narrow(arrays.batches(stream, "text")):
+        for batch, _, data, offsets in _narrow(arrays.batches(stream, text)):
             lettered = batch.column(1).to_numpy(zero_copy_only=False)
             if fitted.languages:
                 best, score = fitted.predict(data, offsets)

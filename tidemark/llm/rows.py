@@ -26,3 +26,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def fold(column: str, size: int) -> Column:
     """crc32 of the id as text, modulo `size`; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % size
+
+
+def with_text(docs: DataFrame, keep: list[str], text_column: str, *more: Column) -> tuple[DataFrame, str | tuple[str, int]]:
+    """`row` (a struct of the columns in `keep`), `more`, and the text, which comes within the
+    row where `keep` has it, so that it is sent once; and the place `arrays.batches` reads it from."""
+    row = F.struct(*[docs[c] for c in keep]).alias("row")
+    if text_column in keep:
+        return docs.select(row, *more), ("row", keep.index(text_column))
+    return docs.select(row, *more, docs[text_column].alias("text")), "text"
