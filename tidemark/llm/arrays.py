@@ -7,6 +7,7 @@ a task whatever the length of the texts; one text longer than a slice is a slice
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,6 +16,9 @@ import pyarrow.compute as pc
 
 SLICE_BYTES = 1 << 20
 
+# of the C library, where it has it
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
 _STEP = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
 _TABLE = np.random.default_rng(0x5EED).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -67,6 +71,16 @@ def batches(stream, column: str | tuple[str, int] = "text", limit: int = SLICE_B
         for start, stop in slices(texts, limit):
             part = texts.slice(start, stop - start)
             yield (batch.slice(start, stop - start), part, *flat(part))
+        batch = texts = part = None
+        release()
+
+
+def release() -> None:
+    """Give what freed batches leave in the allocators back: a worker lives on for the tasks of
+    later stages, beside those of its neighbours."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -89,7 +103,7 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
             table = np.full(size, base & _MASK, np.uint64)
             table[0] = 1
             tables.append(np.multiply.accumulate(table))
-        if size > 1 << 23:  # tables for one huge text are not kept
+        if size > 1 << 21:  # tables for one huge text are not kept
             return tables[0], tables[1]
         _powers = (tables[0], tables[1])
     return _powers

@@ -141,6 +141,8 @@ def decode(encoded: DataFrame, path: str, id_column: str = "doc_id") -> DataFram
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), lists, text.cast(pa.string())], names=[id_column, "ids", "decoded"]
                 )
+            batch = part = lists = text = None
+            arrays.release()
 
     schema = T.StructType([*encoded.select(id_column, "ids").schema.fields, T.StructField("decoded", T.StringType())])
     return encoded.select(id_column, "ids").mapInArrow(run, schema)
