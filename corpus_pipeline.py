@@ -50,9 +50,11 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids and what they decode to, as counts and digests."""
+    """Token ids and what they decode to, as counts and digests. The ids are stored between, so
+    that a task has one Python worker at a time and not one for each direction."""
     importable(spark)
-    return word_bpe.digests(word_bpe.decode(word_bpe.encode(docs, WORD_VOCABULARY), WORD_VOCABULARY))
+    encoded = store(word_bpe.encode(docs, WORD_VOCABULARY), "encoded")
+    return word_bpe.digests(word_bpe.decode(encoded, WORD_VOCABULARY))
 
 
 STAGES = [
