@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__ as entry_points
 from tidemark.plans.oracle import ORACLE
-from tidemark.plans.queries import QUERIES
+from tidemark.plans.queries import CONTROLS, QUERIES
 
 TABLES = (
     "region nation customer supplier part orders lineitem events "
@@ -56,4 +56,4 @@ def test_matches(spark, duck, sf_dir, name):
 
 
 def test_entry_runs(spark):
-    assert entry_points.entry(spark).count() == 6
+    assert entry_points.entry(spark).count() == sum(len(c[2]) for c in CONTROLS.values())

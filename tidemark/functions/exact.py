@@ -87,6 +87,33 @@ def mean_of_parts(column: str, digits: int) -> Column:
     return half_up(combined(sum_of_parts(column), F.sum(_large(column))) / size, digits)
 
 
+def state_columns(*columns: str) -> list[Column]:
+    """Aggregates that leave a split column's sums, and the count of its numbers, as they
+    are: what may be stored, and added up later with those of further rows."""
+    return [F.sum(name).alias(name) for c in columns for name in _summed(c)] + [
+        F.count(c).alias(_size(c)) for c in columns
+    ]
+
+
+def merged_columns(*columns: str) -> list[Column]:
+    """The same of stored states."""
+    return [F.sum(name).alias(name) for c in columns for name in (*_summed(c), _size(c))]
+
+
+def mean_of_states(column: str, digits: int) -> Column:
+    """ROUND(AVG(column), digits) over all rows behind stored states."""
+    size = F.nullif(F.sum(_size(column)), F.lit(0))
+    return half_up(combined(sum_of_parts(column), F.sum(_large(column))) / size, digits)
+
+
+def _summed(column: str) -> list[str]:
+    return [*(_part(column, i) for i in range(_PARTS)), _large(column)]
+
+
+def _size(column: str) -> str:
+    return f"{column}_size"
+
+
 def _units_held(value: Column) -> Column:
     """Fraction units per whole that a double of this size tells apart, as 10^digits.
 

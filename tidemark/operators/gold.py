@@ -124,6 +124,10 @@ def first_last_day(fact: DataFrame) -> DataFrame:
     )
 
 
+_HISTORY_MEASURES = (s.MEAN_PRICE, s.MEAN_CAP, s.MEAN_VOLUME)
+_FIRST, _LAST = "data_primeiro_dia", "data_ultimo_dia"
+
+
 def asset_summary(fact: DataFrame) -> DataFrame:
     """History of each asset with its values on its own first and last day.
 
@@ -132,37 +136,46 @@ def asset_summary(fact: DataFrame) -> DataFrame:
     numbers and dates, which Spark hashes in place, while a greatest text per asset
     would have it sort the fact. The second step sees one row per asset and label.
     """
-    mean_cap = "valor_mercado_medio_historico_usd"
-    mean_volume = "volume_medio_historico_usd"
-    last_cap = "valor_mercado_ultimo_dia_usd"
-    last_volume = "volume_ultimo_dia_usd"
-    measures = (s.MEAN_PRICE, s.MEAN_CAP, s.MEAN_VOLUME)
-    first, last = "data_primeiro_dia", "data_ultimo_dia"
+    return summary_of_states(history_state(fact))
+
+
+def history_state(fact: DataFrame, *within: str) -> DataFrame:
+    """Days of the fact folded per asset, symbol and name, and the columns in `within`: sums,
+    counts, extremes, first and last values. States of different days merge."""
     summable = fact.withColumns(
-        {f"{m}_exato": numbers.measure(m) for m in measures}
-        | {f"{m}_grande": numbers.oversized(m) for m in measures}
+        {f"{m}_exato": numbers.measure(m) for m in _HISTORY_MEASURES}
+        | {f"{m}_grande": numbers.oversized(m) for m in _HISTORY_MEASURES}
     )
-    labelled = summable.groupBy(s.ASSET, s.LABEL, s.TITLE).agg(
-        F.min(s.DAY).alias(first),
-        F.max(s.DAY).alias(last),
+    return summable.groupBy(*within, s.ASSET, s.LABEL, s.TITLE).agg(
+        F.min(s.DAY).alias(_FIRST),
+        F.max(s.DAY).alias(_LAST),
         F.count("*").alias("dias"),
-        *[F.sum(f"{m}_exato").alias(f"{m}_soma") for m in measures],
-        *[F.sum(f"{m}_grande").alias(f"{m}_soma_grande") for m in measures],
+        *[F.sum(f"{m}_exato").alias(f"{m}_soma") for m in _HISTORY_MEASURES],
+        *[F.sum(f"{m}_grande").alias(f"{m}_soma_grande") for m in _HISTORY_MEASURES],
         *[
             F.count(F.coalesce(F.col(f"{m}_exato").cast("double"), F.col(f"{m}_grande"))).alias(f"{m}_dias")
-            for m in measures
+            for m in _HISTORY_MEASURES
         ],
         F.min(s.MEAN_PRICE).alias("menor"),
         F.max(s.MEAN_PRICE).alias("maior"),
         *_ends(),
     )
 
+
+def summary_of_states(states: DataFrame) -> DataFrame:
+    """The asset summary of all days behind the states."""
+    mean_cap = "valor_mercado_medio_historico_usd"
+    mean_volume = "volume_medio_historico_usd"
+    last_cap = "valor_mercado_ultimo_dia_usd"
+    last_volume = "volume_ultimo_dia_usd"
+    first, last = _FIRST, _LAST
+
     def mean(m: str, digits: int):
         days = F.nullif(F.sum(f"{m}_dias"), F.lit(0))
         total = numbers.combined(F.sum(f"{m}_soma"), F.sum(f"{m}_soma_grande"))
         return numbers.half_up(total / days, digits)
 
-    history = labelled.groupBy(s.ASSET).agg(
+    history = states.groupBy(s.ASSET).agg(
         F.max(s.LABEL).alias(s.LABEL),
         F.max(s.TITLE).alias(s.TITLE),
         F.min(first).alias(first),

@@ -12,16 +12,13 @@ from tidemark import schema as s
 from tidemark.functions import calendar, exact
 
 
-def daily_metrics(
-    observations: DataFrame, processed_at: dt.datetime | str | None = None
-) -> DataFrame:
-    """Mean price, cap and volume per (day, asset, symbol, name).
+MEASURES = (s.PRICE, s.MARKET_CAP, s.TOTAL_VOLUME)
+VERSION = (s.DAY, s.ASSET, s.LABEL, s.TITLE)
 
-    Takes typed raw rows or bronze text. Rows without a readable time have no day and
-    are left out; unreadable measures are ignored by the mean. Sums combine before
-    the shuffle, so one busy asset or day costs one row per input task.
-    """
-    dated = observations.select(
+
+def _dated(observations: DataFrame) -> DataFrame:
+    """Rows with a readable time, under the names of silver."""
+    return observations.select(
         calendar.day_of(observations, s.TIMESTAMP).alias(s.DAY),
         F.col(s.ID).alias(s.ASSET),
         F.col(s.SYMBOL).alias(s.LABEL),
@@ -31,9 +28,20 @@ def daily_metrics(
         s.MARKET_CAP,
         s.TOTAL_VOLUME,
     ).where(F.col(s.DAY).isNotNull())
+
+
+def daily_metrics(
+    observations: DataFrame, processed_at: dt.datetime | str | None = None
+) -> DataFrame:
+    """Mean price, cap and volume per (day, asset, symbol, name).
+
+    Takes typed raw rows or bronze text. Rows without a readable time have no day and
+    are left out; unreadable measures are ignored by the mean. Sums combine before
+    the shuffle, so one busy asset or day costs one row per input task.
+    """
     return (
-        exact.with_parts(dated, s.PRICE, s.MARKET_CAP, s.TOTAL_VOLUME)
-        .groupBy(s.DAY, s.ASSET, s.LABEL, s.TITLE)
+        exact.with_parts(_dated(observations), *MEASURES)
+        .groupBy(*VERSION)
         .agg(
             exact.mean_of_parts(s.PRICE, s.PRICE_DIGITS).alias(s.MEAN_PRICE),
             exact.mean_of_parts(s.MARKET_CAP, s.MONEY_DIGITS).alias(s.MEAN_CAP),
@@ -44,6 +52,40 @@ def daily_metrics(
     )
 
 
+def daily_state(observations: DataFrame) -> DataFrame:
+    """What `daily_metrics` would add up for each (day, asset, symbol, name), not yet divided:
+    sums, counts and the newest instant. States of different rows merge by addition, so
+    new observations need no other of their day."""
+    return (
+        exact.with_parts(_dated(observations), *MEASURES)
+        .groupBy(*VERSION)
+        .agg(*exact.state_columns(*MEASURES), F.max("_seen").alias(s.LAST_SEEN))
+    )
+
+
+def merge_states(states: DataFrame) -> DataFrame:
+    """One state for each (day, asset, symbol, name)."""
+    return states.groupBy(*VERSION).agg(
+        *exact.merged_columns(*MEASURES), F.max(s.LAST_SEEN).alias(s.LAST_SEEN)
+    )
+
+
+def metrics_of_states(
+    states: DataFrame, processed_at: dt.datetime | str | None = None
+) -> DataFrame:
+    """The daily metrics of all observations behind the states."""
+    return (
+        states.groupBy(*VERSION)
+        .agg(
+            exact.mean_of_states(s.PRICE, s.PRICE_DIGITS).alias(s.MEAN_PRICE),
+            exact.mean_of_states(s.MARKET_CAP, s.MONEY_DIGITS).alias(s.MEAN_CAP),
+            exact.mean_of_states(s.TOTAL_VOLUME, s.MONEY_DIGITS).alias(s.MEAN_VOLUME),
+            F.max(s.LAST_SEEN).alias(s.LAST_SEEN),
+        )
+        .withColumn(s.PROCESSED_AT, calendar.processing_time(processed_at))
+    )
+
+
 def latest_version(daily: DataFrame) -> DataFrame:
     """One row per (day, asset): the version processed last.
 

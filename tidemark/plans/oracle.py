@@ -245,13 +245,15 @@ _WITHOUT_SEEN = "SELECT * EXCLUDE (seen) FROM daily"
 _SOURCES = ("daily", "fact", "ranking", "change", "market", "asset")
 
 _DAY = "data_referencia"
-_FLAGSHIP = "\nUNION ALL ".join(
+_CONTROLS = [
     f"SELECT '{name}' AS tabela, COUNT(*) AS linhas, MIN({first}) AS primeiro_dia, "
     f"MAX({last}) AS ultimo_dia, '{figure}' AS coluna, {_sum(figure)} AS total_controle "
     f"FROM {source}"
     for source, (name, (first, last, figures)) in zip(_SOURCES, CONTROLS.items(), strict=True)
     for figure in figures
-)
+]
+_FLAGSHIP = "\nUNION ALL ".join(_CONTROLS)
+_KEPT_CURRENT = "\nUNION ALL ".join(c for c in _CONTROLS if s.SILVER_DAILY not in c)
 
 _BRONZE = """SELECT id, symbol, name, CAST("timestamp" AS VARCHAR) AS "timestamp",
   CAST(CAST(current_price AS DECIMAL(18,2)) AS VARCHAR) AS current_price,
@@ -399,6 +401,17 @@ FROM daily GROUP BY 1""",
     ),
     "first_last_day": _with(*_TRADE_FACT, _ENDS, then="SELECT * FROM ends"),
     "gold_asset_summary": _with(*_TRADE_ASSET, then="SELECT * FROM asset"),
+    "gold_incremental": _with(
+        *_EVENT_FACT,
+        _ENDS,
+        _ASSET,
+        _ranking(DEPTH),
+        _CHANGE,
+        _TOP_CAP,
+        _TOP_VOLUME,
+        _MARKET,
+        then=_KEPT_CURRENT,
+    ),
     "report_top20": _with(*_TRADE_ASSET, _TOP20, then="SELECT * FROM top20"),
     "report_latest_price": _with(*_EVENT_FACT, _LATEST, then="SELECT * FROM latest"),
     "report_share": _with(

@@ -17,6 +17,7 @@ from tidemark.plans.market import publish_bronze, refresh_tables
 from tidemark.sources import raw
 from tidemark.sources.files import store, work_path
 from tidemark.streaming import bronze as bronze_flow
+from tidemark.streaming import gold as gold_flow
 from tidemark.streaming import silver as silver_flow
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -512,15 +513,12 @@ CONTROLS = {
 }
 
 
-def flagship(spark: SparkSession, folder: str) -> DataFrame:
-    """Refresh every table from bronze text, then report row count, days covered and the
-    total of each column with numbers."""
-    rows = raw.with_load_partitions(trade_observations(spark, folder))
-    tables = refresh_tables(
-        bronze.to_bronze(rows), work_path(spark, "tables"), ranking_depth=DEPTH
-    )
+def _controls(tables: dict[str, DataFrame]) -> DataFrame:
+    """Row count, days covered and the total of each column with numbers, per table."""
     controls = None
     for name, (first, last, figures) in CONTROLS.items():
+        if name not in tables:
+            continue
         totals = [
             F.struct(F.lit(c).alias("coluna"), numbers.exact_sum(c).alias("total_controle"))
             for c in figures
@@ -539,6 +537,33 @@ def flagship(spark: SparkSession, folder: str) -> DataFrame:
     return controls
 
 
+def flagship(spark: SparkSession, folder: str) -> DataFrame:
+    """Refresh every table from bronze text, then report row count, days covered and the
+    total of each column with numbers."""
+    rows = raw.with_load_partitions(trade_observations(spark, folder))
+    tables = refresh_tables(
+        bronze.to_bronze(rows), work_path(spark, "tables"), ranking_depth=DEPTH
+    )
+    return _controls(tables)
+
+
+def gold_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    """Fact and gold kept current batch by batch, with a late second load and one delivery
+    that comes again; the same controls as of a full refresh."""
+    source, target, root, first, second = (
+        work_path(spark, n) for n in ("raw", "bronze", "marts", "offsets", "offsets")
+    )
+    for load in _landed_in_two(spark, folder):
+        load.hint("rebalance", s.LOAD_DAY).write.mode("append").partitionBy(
+            s.MONTH, s.LOAD_DAY
+        ).parquet(source)
+        bronze_flow.bronze_stream(spark, source, target, first, load.schema)
+        gold_flow.gold_stream(spark, target, root, second, ranking_depth=DEPTH)
+    gold_flow.refresh_gold(bronze.to_bronze(load), root, 1, ranking_depth=DEPTH)
+    kept = [name for name in CONTROLS if name != s.SILVER_DAILY]
+    return _controls({name: gold_flow.read_table(spark, root, name) for name in kept})
+
+
 def catalog_tables(spark: SparkSession, folder: str) -> DataFrame:
     """Every layer published under a name, then looked up by it: rows, comment and tag."""
     names = ("raw", "bronze", "offsets", "tables", "catalog")
@@ -606,6 +631,7 @@ QUERIES: dict[str, Query] = {
         gold_market_summary,
         first_last_day,
         gold_asset_summary,
+        gold_incremental,
         report_top20,
         report_latest_price,
         report_share,
