@@ -4,14 +4,18 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schema as s
-from tidemark.operators import ingest
+from tidemark.operators import coverage, ingest
+from tidemark.sources import listing as folders
 from tidemark.sources import raw
 from tidemark.sources.files import store
 
+COVERAGE = f"{s.ID} string, {s.LOAD_DAY} date, {coverage.SAMPLES} bigint"
+
 
 def landed_observations(
     payloads: DataFrame, listing: DataFrame, universe: int = s.UNIVERSE_SIZE
@@ -34,12 +38,11 @@ def daily_load(
     """Append the days after the last loaded one, up to `as_of` minus the lag.
 
     Returns False when raw is already up to date. The mark is one value, read before
-    the append so that the load does not see itself. With `merge` samples that raw has
+    the append so that the load does not see itself, from the names of raw's folders. With `merge` samples that raw has
     already are replaced, not repeated. Nothing landed is read when nothing is due, nor,
     where the landing is laid out by request day, responses for days that are not.
     """
-    stored = raw.read_raw(spark, raw_path)
-    mark = None if stored is None else ingest.high_water_mark(stored).first()[0]
+    mark = folders.newest_day(spark, raw_path)
     first, last = spark.range(1).select(*ingest.load_window(mark, as_of, lag_days)).first()
     if first > last:
         return False
@@ -63,6 +66,55 @@ def backfill_load(
     return _write(ingest.backfill_range(rows, start, end), raw_path, merge)
 
 
+def gap_load(
+    spark: SparkSession,
+    payloads: DataFrame,
+    listing: DataFrame,
+    raw_path: str,
+    coverage_path: str,
+    since: dt.date | str,
+    as_of: dt.date | str | None = None,
+    lag_days: int = s.LAG_DAYS,
+    universe: int = s.UNIVERSE_SIZE,
+    least_samples: int = 1,
+) -> bool:
+    """Load what the universe lacks since a day: whole histories of assets that are new, days
+    that never came, and days of which less than `least_samples` samples did.
+
+    Samples that raw has of such a day give way, so none counts twice. Coverage of the load is
+    added after its rows: a load that fails between is done again. Returns False when no day
+    is missing. Only landed samples of missing days are written.
+    """
+    due = coverage.due_days(ingest.top_universe(listing, universe), since, as_of, lag_days)
+    missing = store(coverage.missing_days(due, read_coverage(spark, coverage_path), least_samples), "missing")
+    first, last = missing.agg(F.min(s.LOAD_DAY), F.max(s.LOAD_DAY)).first()
+    if first is None:
+        return False
+    rows = landed_observations(ingest.requested_between(payloads, first, last), listing, universe)
+    wanted = missing.select(F.col(s.ID).alias("_id"), F.col(s.LOAD_DAY).alias("_day"))
+    same = (F.col(s.ID) == F.col("_id")) & (F.to_date(s.TIMESTAMP) == F.col("_day"))
+    rows = store(ingest.dedup_observations(rows.join(wanted, same, "left_semi")), "gaps")
+    raw.merge_raw(rows, raw_path)
+    add_coverage(rows, coverage_path)
+    return True
+
+
+def add_coverage(rows: DataFrame, coverage_path: str) -> None:
+    """Note the assets and days of rows that are in raw now."""
+    coverage.coverage(rows).write.mode("append").parquet(coverage_path)
+
+
+def read_coverage(spark: SparkSession, coverage_path: str) -> DataFrame:
+    """Coverage of all loads noted so far; empty while there is none."""
+    try:
+        parts = spark.read.schema(COVERAGE).parquet(coverage_path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        parts = spark.createDataFrame([], COVERAGE)
+    return coverage.merge_coverage(parts)
+
+
 def _write(rows: DataFrame, raw_path: str, merge: bool) -> bool:
     if merge:
         return raw.merge_raw(ingest.dedup_observations(rows), raw_path)

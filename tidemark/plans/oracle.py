@@ -13,6 +13,8 @@ from tidemark.plans.queries import (
     BACKFILL,
     CONTROLS,
     DEPTH,
+    GAPS_SINCE,
+    HALF_DAY,
     OVERLAP_FROM,
 )
 
@@ -274,6 +276,24 @@ FROM (SELECT DISTINCT id FROM obs) u,
     (SELECT CAST(MAX(CAST("timestamp" AS DATE)) + 1 AS TIMESTAMP) FROM obs),
     CAST(CAST('{AS_OF}' AS DATE) - 2 AS TIMESTAMP), INTERVAL 1 DAY) g(d)"""
 
+_GAPS = f"""due AS (
+  SELECT id, CAST(d AS DATE) AS d FROM (SELECT DISTINCT id FROM obs) u, GENERATE_SERIES(
+    TIMESTAMP '{GAPS_SINCE}', CAST(CAST('{AS_OF}' AS DATE) - 2 AS TIMESTAMP), INTERVAL 1 DAY) g(d)),
+held AS (
+  SELECT DISTINCT id, CAST("timestamp" AS DATE) AS d FROM obs
+  WHERE CAST(id AS INTEGER) % 17 <> 3
+    AND NOT (CAST("timestamp" AS DATE) = DATE '{HALF_DAY}' AND CAST(id AS INTEGER) % 2 = 1)),
+missing AS (SELECT * FROM due EXCEPT SELECT * FROM held),
+edges AS (
+  SELECT id, d, CASE WHEN LAG(d) OVER (PARTITION BY id ORDER BY d) = d - 1 THEN 0 ELSE 1 END AS starts
+  FROM missing),
+runs AS (SELECT id, d, SUM(starts) OVER (PARTITION BY id ORDER BY d) AS run FROM edges)"""
+
+_GAP_PLAN = """SELECT id, MIN(d) AS primeiro_dia, MAX(d) AS ultimo_dia, COUNT(*) AS dias,
+  CAST(EPOCH(CAST(MIN(d) AS TIMESTAMP)) AS BIGINT) AS from_epoch,
+  CAST(EPOCH(CAST(MAX(d) AS TIMESTAMP)) AS BIGINT) + 86399 AS to_epoch
+FROM runs GROUP BY id, run"""
+
 _SAMPLES = """samples AS (
   SELECT CAST(user_id AS VARCHAR) AS id, 'U' || CAST(user_id AS VARCHAR) AS symbol,
     'user ' || CAST(user_id AS VARCHAR) AS name, EPOCH_US(ts) // 1000 AS ts_ms,
@@ -340,7 +360,10 @@ FROM lineitem JOIN supplier ON l_suppkey = s_suppkey""",
 FROM obs GROUP BY 1, 2, 3 ORDER BY 4 DESC, id LIMIT 50""",
     ),
     "ingest_high_water_mark": "SELECT MAX(CAST(ts AS DATE)) AS ultima_data FROM events",
+    "ingest_mark_listing": "SELECT MAX(CAST(ts AS DATE)) AS ultima_data FROM events",
     "ingest_plan": _with(_EVENTS, then=_PLAN),
+    "ingest_gap_plan": _with(_EVENTS, _GAPS, then=_GAP_PLAN),
+    "ingest_gap_load": _samples_between(f"{GAPS_SINCE} 00:00:00", "2024-02-03 23:59:59.999"),
     "backfill_range": _with(
         _EVENTS,
         then=f"""SELECT * FROM obs WHERE "timestamp" >= TIMESTAMP '{BACKFILL[0]}'

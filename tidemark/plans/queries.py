@@ -10,11 +10,17 @@ from pyspark.sql import functions as F
 
 from tidemark import schema as s
 from tidemark.functions import numbers
-from tidemark.operators import bronze, gold, ingest, reports, silver
+from tidemark.operators import bronze, coverage, gold, ingest, reports, silver
 from tidemark.plans.bindings import event_observations, table, trade_observations
-from tidemark.plans.ingestion import backfill_load, daily_load
+from tidemark.plans.ingestion import (
+    add_coverage,
+    backfill_load,
+    daily_load,
+    gap_load,
+    landed_observations,
+)
 from tidemark.plans.market import publish_bronze, refresh_tables
-from tidemark.sources import raw
+from tidemark.sources import listing, raw
 from tidemark.sources.files import store, work_path
 from tidemark.streaming import bronze as bronze_flow
 from tidemark.streaming import gold as gold_flow
@@ -28,6 +34,7 @@ AS_OF = "2024-02-05"
 LATE_FROM, LATE_TO = "2024-01-10", "2024-01-12"
 OVERLAP_FROM = "2024-01-20 12:00:00"
 DAILY_RUNS = ("2024-01-07", "2024-01-19", "2024-01-20", "2024-01-20")
+GAPS_SINCE, HALF_DAY = "2024-01-05", "2024-01-15"
 BACKFILL = ("2024-01-08 06:00:00", "2024-01-19 18:30:00")
 
 
@@ -205,6 +212,42 @@ def ingest_high_water_mark(spark: SparkSession, folder: str) -> DataFrame:
     return ingest.high_water_mark(raw.read_raw(spark, path))
 
 
+def ingest_mark_listing(spark: SparkSession, folder: str) -> DataFrame:
+    """The last loaded day by the names of raw's folders."""
+    day = F.lit(listing.newest_day(spark, _written_raw(spark, folder)))
+    return spark.range(1).select(day.cast("date").alias("ultima_data"))
+
+
+def _partly_loaded(rows: DataFrame) -> DataFrame:
+    """Rows without those of some assets, and without half the assets on one day."""
+    number = F.col(s.ID).cast("int")
+    new = number % 17 == 3
+    half = (F.to_date(s.TIMESTAMP) == F.lit(HALF_DAY).cast("date")) & (number % 2 == 1)
+    return rows.where(~new & ~half)
+
+
+def ingest_gap_plan(spark: SparkSession, folder: str) -> DataFrame:
+    """Requests for the days that each user still lacks."""
+    rows = _events(spark, folder)
+    universe = rows.select(s.ID).distinct()
+    covered = coverage.coverage(_partly_loaded(rows))
+    return coverage.gap_plan(universe, covered, GAPS_SINCE, AS_OF)
+
+
+def ingest_gap_load(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw with holes, filled from the landing: each sample of the universe once."""
+    path, covered = work_path(spark, "raw"), work_path(spark, "coverage")
+    landed = _land_payloads(spark, folder, by_day=True), _land_listing(spark, folder)
+    rows = ingest.backfill_range(landed_observations(*landed), GAPS_SINCE, "2024-01-25")
+    held = store(_partly_loaded(rows), "held")
+    raw.write_raw(held, path)
+    # the last day held came in up to midnight only, and is loaded again
+    add_coverage(held.where(F.col(s.TIMESTAMP) < F.lit("2024-01-25").cast("timestamp")), covered)
+    for _ in range(2):  # the second run finds nothing to do but days without samples
+        gap_load(spark, *landed, path, covered, GAPS_SINCE, AS_OF)
+    return _by_instant(raw.read_raw(spark, path).select(s.OBSERVATION_COLUMNS))
+
+
 def ingest_plan(spark: SparkSession, folder: str) -> DataFrame:
     rows = raw.with_load_partitions(_events(spark, folder))
     universe = rows.select(s.ID).distinct()
@@ -602,7 +645,10 @@ QUERIES: dict[str, Query] = {
         dim_lookup,
         universe_topn,
         ingest_high_water_mark,
+        ingest_mark_listing,
         ingest_plan,
+        ingest_gap_plan,
+        ingest_gap_load,
         backfill_range,
         asset_batches,
         raw_partitioned_write,
