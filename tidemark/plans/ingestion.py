@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schema as s
-from tidemark.operators import coverage, ingest
+from tidemark.operators import coverage, ingest, quarantine
 from tidemark.sources import listing as folders
 from tidemark.sources import raw
 from tidemark.sources.files import store
@@ -20,11 +20,19 @@ COVERAGE = f"{s.ID} string, {s.LOAD_DAY} date, {coverage.SAMPLES} bigint"
 def landed_observations(
     payloads: DataFrame, listing: DataFrame, universe: int = s.UNIVERSE_SIZE
 ) -> DataFrame:
-    """Samples of the `universe` largest listed assets, with symbol and name."""
+    """Samples of the `universe` largest listed assets, with symbol and name. Those of other
+    assets are left out; `quarantine_unlisted` keeps and counts them."""
     chosen = ingest.dimension(ingest.top_universe(listing, universe))
     return ingest.attach_dimension(ingest.flatten_payload(payloads), store(chosen, "dimension"))
 
 
+def quarantine_unlisted(payloads: DataFrame, listing: DataFrame, path: str) -> dict[str, int]:
+    """Write the samples of assets that no listing has to `path`, and return the samples of
+    each kind: kept (listed, whether within the universe or not) and by reason."""
+    samples = quarantine.marked(ingest.flatten_payload(payloads), listing)
+    return quarantine.split(samples, None, path)
+
+
 def daily_load(
     spark: SparkSession,
     payloads: DataFrame,

@@ -385,8 +385,19 @@ FROM obs GROUP BY 1, 2, 3 ORDER BY 4 DESC, id LIMIT 50""",
     "bronze_normalize": _with(_EVENTS, then=_BRONZE),
     "bronze_quality": _with(_SPOILED, then=_QUALITY),
     "bronze_stream": _with(_EVENTS, then=_BRONZE),
+    "bronze_stream_dedup": _with(_EVENTS, then=_BRONZE),
     "schema_evolution": f"""SELECT event_id, ts, user_id,
   CASE WHEN ts >= TIMESTAMP '{OVERLAP_FROM}' THEN event_type END AS event_type FROM events""",
+    "schema_evolution_auto": f"""SELECT event_id, ts, user_id,
+  CASE WHEN ts >= TIMESTAMP '{OVERLAP_FROM}' THEN event_type END AS event_type FROM events""",
+    "bronze_quarantine": _with(
+        _SPOILED,
+        then="""SELECT motivo, COUNT(*) AS linhas, COUNT(*) AS observadas FROM (
+  SELECT CASE WHEN CAST(id AS INTEGER) % 13 = 5 THEN 'ativo_nao_listado'
+    WHEN "timestamp" = 'zzz' THEN 'timestamp_ilegivel' WHEN current_price = 'abc' THEN 'preco_ilegivel'
+    WHEN market_cap = '' THEN 'valor_mercado_ilegivel' ELSE 'aceita' END AS motivo FROM obs) r
+GROUP BY 1""",
+    ),
     "silver_daily": _with(_TRADES, _daily(), then=_WITHOUT_SEEN),
     "silver_from_text": _with(_SPOILED, _READ, _daily("readable"), then=_WITHOUT_SEEN),
     "silver_latest": _with(*_EVENT_FACT, then="SELECT * FROM fact"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schema as s
 from tidemark.functions import numbers
-from tidemark.operators import bronze, coverage, gold, ingest, reports, silver
+from tidemark.operators import bronze, coverage, gold, ingest, quarantine, reports, silver
 from tidemark.plans.bindings import event_observations, table, trade_observations
 from tidemark.plans.ingestion import (
     add_coverage,
@@ -23,6 +23,8 @@ from tidemark.plans.market import publish_bronze, refresh_tables
 from tidemark.sources import listing, raw
 from tidemark.sources.files import store, work_path
 from tidemark.streaming import bronze as bronze_flow
+from tidemark.streaming import dedup as dedup_flow
+from tidemark.streaming import evolution as evolution_flow
 from tidemark.streaming import gold as gold_flow
 from tidemark.streaming import silver as silver_flow
 
@@ -325,6 +327,22 @@ def bronze_stream(spark: SparkSession, folder: str) -> DataFrame:
     return bronze_flow.read_bronze(spark, target).drop(s.INGESTED_AT)
 
 
+def bronze_stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Overlapping loads streamed in by two runs over one checkpoint: each sample is there once.
+    The first load repeats a day within itself, the second one repeats days of the first."""
+    source, target, checkpoint = (work_path(spark, n) for n in ("raw", "bronze", "offsets"))
+    rows = _raw_rows(spark, folder)
+    day = F.col(s.LOAD_DAY)
+    late, again = F.lit(OVERLAP_FROM).cast("date"), F.lit(LATE_FROM).cast("date")
+    early = rows.where(day < late)
+    for load in (early.unionByName(rows.where(day == again)), rows.where(day >= again)):
+        load.hint("rebalance", s.LOAD_DAY).write.mode("append").partitionBy(
+            s.MONTH, s.LOAD_DAY
+        ).parquet(source)
+        dedup_flow.bronze_stream_dedup(spark, source, target, checkpoint, rows.schema)
+    return bronze_flow.read_bronze(spark, target).drop(s.INGESTED_AT)
+
+
 def schema_evolution(spark: SparkSession, folder: str) -> DataFrame:
     """The second load brings a new column; the stream restarts with a wider schema."""
     source, target, checkpoint = (work_path(spark, n) for n in ("raw", "wide", "offsets"))
@@ -338,6 +356,35 @@ def schema_evolution(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(wide.schema).parquet(target)
 
 
+def schema_evolution_auto(spark: SparkSession, folder: str) -> DataFrame:
+    """The same loads, where nobody tells the stream of the new column."""
+    source, target, checkpoint = (work_path(spark, n) for n in ("raw", "wide", "offsets"))
+    wide = table(spark, folder, "events").select("event_id", "ts", "user_id", "event_type")
+    late = F.col("ts") >= F.lit(OVERLAP_FROM).cast("timestamp_ntz")
+    for load in (wide.drop("event_type").where(~late), wide.where(late)):
+        load.write.mode("append").parquet(source)
+        schema = evolution_flow.evolving_stream(spark, source, target, checkpoint)
+    return evolution_flow.read_evolved(spark, target, schema)
+
+
+def bronze_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """Spoiled rows, some of assets that are not listed, loaded with a quarantine: what was
+    kept and what was rejected, by reason, read back from the two tables."""
+    kept, rejected = work_path(spark, "bronze"), work_path(spark, "rejected")
+    ids = table(spark, folder, "events").select(F.col("user_id").cast("string").alias(s.ID)).distinct()
+    listed = ids.where(F.col(s.ID).cast("int") % 13 != 5)
+    counts = quarantine.load(_spoiled_rows(spark, folder), kept, rejected, listed)
+    tables = spark.read.parquet(kept).select(F.lit(quarantine.KEPT).alias(quarantine.REASON)).unionAll(
+        spark.read.parquet(rejected).select(quarantine.REASON)
+    )
+    reported = F.create_map(*[F.lit(x) for reason in counts for x in (reason, counts[reason])])
+    return (
+        tables.groupBy(quarantine.REASON)
+        .agg(F.count("*").alias("linhas"))
+        .select("*", reported[F.col(quarantine.REASON)].alias("observadas"))
+    )
+
+
 # --- silver -------------------------------------------------------------------
 
 
@@ -658,7 +705,10 @@ QUERIES: dict[str, Query] = {
         bronze_normalize,
         bronze_quality,
         bronze_stream,
+        bronze_stream_dedup,
         schema_evolution,
+        schema_evolution_auto,
+        bronze_quarantine,
         silver_daily,
         silver_from_text,
         silver_latest,
