@@ -381,7 +381,7 @@ def bronze_quarantine(spark: SparkSession, folder: str) -> DataFrame:
     return (
         tables.groupBy(quarantine.REASON)
         .agg(F.count("*").alias("linhas"))
-        .select("*", reported[F.col(quarantine.REASON)].alias("observadas"))
+        .select("*", reported[F.col(quarantine.REASON)].cast("bigint").alias("observadas"))
     )
 
 
