@@ -282,6 +282,42 @@ def test_a_failed_refresh_leaves_the_table(spark, market, tmp_path):
     spark.sql("DROP DATABASE kept CASCADE")
 
 
+@pytest.mark.parametrize("step", ["CREATE TABLE", "CREATE OR REPLACE VIEW"])
+def test_a_refresh_that_fails_between_its_steps_leaves_the_table(spark, market, tmp_path, monkeypatch, step):
+    from tidemark.sources.tables import publish
+
+    database = "between_" + step.split()[-1].lower()
+    spark.sql(f"CREATE DATABASE {database}")
+    given = market.select(s.ID, s.PRICE)
+    publish(given, str(tmp_path), "t", database=database)
+    run = type(spark).sql
+
+    def fails(self, text, *rest, **more):
+        if text.startswith(step):
+            raise OSError("catalog lost")
+        assert not text.startswith("DROP")  # nothing that a reader may use goes first
+        return run(self, text, *rest, **more)
+
+    with monkeypatch.context() as patch, pytest.raises(OSError, match="catalog lost"):
+        patch.setattr(type(spark), "sql", fails)
+        publish(given.limit(1), str(tmp_path), "t", database=database, comment="new")
+    same(spark.table(f"{database}.t"), given)
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
+def test_refreshes_of_any_layout_take_over(spark, market, tmp_path):
+    from tidemark.sources.tables import publish
+
+    spark.sql("CREATE DATABASE layouts")
+    given = market.select(s.ID, s.PRICE)
+    for df, part in ((given, None), (given, s.ID), (given.limit(2), s.ID), (market.select(s.ID, s.NAME), None)):
+        back = publish(df, str(tmp_path), "t", database="layouts", partition_by=part)
+        same(back.select(df.columns), df)
+    names = [r["tableName"] for r in spark.sql("SHOW TABLES IN layouts").collect()]
+    assert "t" in names and len(names) == 3  # the view, its version and the one before
+    spark.sql("DROP DATABASE layouts CASCADE")
+
+
 def test_silver_by_day_leaves_other_days_unread(spark, market, tmp_path):
     from tidemark.operators import reports
 

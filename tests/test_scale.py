@@ -86,6 +86,23 @@ def test_hot_day_never_reaches_a_window(spark):
     assert "Window" not in plan_of(every_day).replace("Window [sum(", "")
 
 
+def test_rows_without_a_day_are_ranked_like_a_hot_day(spark, monkeypatch):
+    """A third of the rows has no day: over the limit they are spread, and no window sees them."""
+    fact = skewed(spark).withColumn(s.DAY, F.when(F.col(s.DAY) != F.lit("2024-01-01").cast("date"), F.col(s.DAY)))
+    fact = store(fact)
+    assert placement.groups_over(fact, s.DAY, 5000) == [None]
+    plain = gold.daily_ranking(fact, 20)
+    windowed = []
+    ranks = placement.window_dense_ranks
+    monkeypatch.setattr(placement, "window_dense_ranks", lambda df, *a: windowed.append(df) or ranks(df, *a))
+    spread = gold.daily_ranking(fact, 20, day_rows_per_task=5000)
+    assert windowed[0].where(F.col(s.DAY).isNull()).count() == 0
+    assert spread.where(F.col(s.DAY).isNull()).count() > 0
+    assert sorted(map(tuple, plain.collect()), key=repr) == sorted(
+        map(tuple, spread.select(plain.columns).collect()), key=repr
+    )
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_ranks_against_brute_force(spark, seed):
     rnd = random.Random(seed)

@@ -43,8 +43,9 @@ def daily_ranking(
     fact = fact.select(*columns)
     large = placement.groups_over(fact, s.DAY, day_rows_per_task)
     if large:
-        # rows without a day are one small or large group like others, never dropped
-        in_large = F.coalesce(F.col(s.DAY).isin(large), F.lit(False))
+        # rows without a day are one small or large group like others
+        named = F.col(s.DAY).isin([day for day in large if day is not None])
+        in_large = F.when(F.col(s.DAY).isNull(), F.lit(None in large)).otherwise(named)
         ranked = placement.window_dense_ranks(fact.where(~in_large), s.DAY, ranks)
         spread = placement.spread_dense_ranks(fact.where(in_large), s.DAY, ranks, n)
         ranked = ranked.unionByName(spread)

@@ -43,8 +43,9 @@ def with_position(df: DataFrame, *order: Column, name: str = "posicao") -> DataF
 
 
 def groups_over(df: DataFrame, key: str, rows: int) -> list:
-    """Keys with more than `rows` rows; at most (row count / rows) of them exist."""
-    sizes = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
+    """Keys with more than `rows` rows, None for the null key; at most (row count / rows) of
+    them exist."""
+    sizes = df.groupBy(key).agg(F.count("*").alias("n"))
     return [row[0] for row in sizes.where(F.col("n") > rows).select(key).collect()]
 
 
@@ -79,7 +80,7 @@ def spread_dense_ranks(
         df = _rows_within(df, ranks, group, measures, within, few)
     for rank, measure in measures.items():
         of_rank = ranks.where(F.col("_rank") == rank).withColumnRenamed("_dense", rank)
-        same_group = F.col(group) == F.col("_group")
+        same_group = F.col(group).eqNullSafe(F.col("_group"))
         same_value = F.col(measure).eqNullSafe(F.col("_value"))
         df = df.join(of_rank, same_group & same_value).drop("_rank", "_group", "_value")
     return df.select(*columns, *measures)
@@ -104,11 +105,14 @@ def _value_ranks(
         F.col("_value").desc_nulls_last(),
         name="_place",
     )
-    keys = ["_rank", "_group"]
-    first = store(placed.groupBy(*keys).agg(F.min("_place").alias("_first")), "starts")
+    first = store(
+        placed.groupBy(F.col("_rank").alias("_of"), F.col("_group").alias("_in")).agg(F.min("_place").alias("_first")),
+        "starts",
+    )
     few = first.count() <= BROADCAST_ROWS
-    ranks = placed.join(F.broadcast(first) if few else first, keys).select(
-        *keys, "_value", (F.col("_place") - F.col("_first") + 1).alias("_dense")
+    same = (F.col("_rank") == F.col("_of")) & F.col("_group").eqNullSafe(F.col("_in"))
+    ranks = placed.join(F.broadcast(first) if few else first, same).select(
+        "_rank", "_group", "_value", (F.col("_place") - F.col("_first") + 1).alias("_dense")
     )
     return store(ranks, "ranks"), few
 
@@ -127,7 +131,8 @@ def _rows_within(
         kept = kept | reached | (F.col(measure).isNull() & F.col(null))
     cuts = (
         ranks.where(F.col("_dense") <= depth)
-        .groupBy(F.col("_group").alias(group))
+        .groupBy(F.col("_group").alias("_in"))
         .agg(*bounds)
     )
-    return df.join(F.broadcast(cuts) if few else cuts, group).where(kept).select(df.columns)
+    same = F.col(group).eqNullSafe(F.col("_in"))
+    return df.join(F.broadcast(cuts) if few else cuts, same).where(kept).select(df.columns)

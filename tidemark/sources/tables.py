@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+# between the name of a table and the time of a version
+_VERSION = "__"
+
 
 def publish(
     df: DataFrame,
@@ -20,10 +24,13 @@ def publish(
 ) -> DataFrame:
     """Replace table `name` under `root` with `df` and read it back.
 
-    With `database` the table enters the catalog, carrying its comment and its quality
-    tag as a table property. Each refresh then writes to a folder of its own, and the
-    name moves there when it is complete: a refresh that fails leaves the table as it
-    was. Folders no name points to any more can be expired by age.
+    With `database` the name enters the catalog, carrying its comment and its quality
+    tag as a property. Each refresh then is a table of its own, in a folder of its own, with
+    a version for its name; `name` is a view of the newest. It moves on in one statement, when
+    the new version is complete: readers find the old rows or the new ones at any time, and
+    a refresh that fails anywhere leaves the old ones. The version before stays for readers
+    that have just looked it up, older ones leave the catalog. Folders that no table has any
+    more can be expired by age.
     """
     spark = df.sparkSession
     path = f"{root.rstrip('/')}/{name}"
@@ -36,19 +43,30 @@ def publish(
         writer.parquet(path)
         return spark.read.schema(df.schema).parquet(path)
 
-    path = f"{path}/{uuid.uuid4().hex}"
+    version = f"{name}{_VERSION}{time.time_ns()}_{uuid.uuid4().hex[:8]}"
+    path = f"{path}/{version}"
     writer.parquet(path)
-    table = f"{database}.{name}"
+    table = f"{database}.{version}"
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-    spark.sql(f"DROP TABLE IF EXISTS {table}")  # its files stay: it owns none
     spark.sql(
         f"CREATE TABLE {table} ({columns}) USING parquet "
         + (f"PARTITIONED BY (`{partition_by}`) " if partition_by else "")
-        + f"LOCATION {_text(path)} {_described(comment, quality)}"
+        + f"LOCATION {_text(path)}"
     )
     if partition_by:
         spark.catalog.recoverPartitions(table)
-    return spark.table(table)
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {database}.{name} {_described(comment, quality)} AS SELECT * FROM {table}"
+    )
+    _forget_old_versions(spark, database, name)
+    return spark.table(f"{database}.{name}")
+
+
+def _forget_old_versions(spark: SparkSession, database: str, name: str, keep: int = 2) -> None:
+    """Only the newest versions stay in the catalog; the files of others stay where they are."""
+    found = spark.sql(f"SHOW TABLES IN {database} LIKE '{name}{_VERSION}*'").collect()
+    for row in sorted(found, key=lambda r: int(r["tableName"].rsplit(_VERSION, 1)[1].split("_")[0]))[:-keep]:
+        spark.sql(f"DROP TABLE IF EXISTS {database}.{row['tableName']}")
 
 
 def publish_stream(
