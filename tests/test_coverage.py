@@ -6,6 +6,8 @@ import json
 
 import pytest
 from conftest import MARKET, observations
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tidemark import schema as s
@@ -121,6 +123,38 @@ def test_a_load_that_fails_before_its_coverage_is_done_again(spark, tmp_path, mo
     assert raw.read_raw(spark, path).count() == 72
 
 
+def test_backfill_resumes_where_it_was_cut(spark, tmp_path, monkeypatch):
+    path, ledger, landed = (str(tmp_path / n) for n in ("raw", "ledger", "by-coin"))
+    landing(spark, tmp_path, "whole", range(24)).write.partitionBy("coin").json(landed)
+    payloads = raw.read_payloads(spark, landed)
+    arguments = (spark, payloads, listed(spark, "btc", "eth", "xrp"), path, ledger, "2024-03-01", "2024-03-02")
+    assert ingestion.resumable_backfill(*arguments, size=1, most_batches=1) == 1
+    assert {r[0] for r in raw.read_raw(spark, path).select(s.ID).distinct().collect()} == {"btc"}
+    for file in glob.glob(f"{landed}/coin=btc/*.json"):
+        with open(file, "w") as broken:  # a finished batch is not read again
+            broken.write("no payload")
+
+    # the next batch fails after its rows are written, before they are noted
+    read = ingestion._write
+    with monkeypatch.context() as patch, pytest.raises(OSError, match="lost"):
+        def lost(*a, **k):
+            read(*a, **k)
+            raise OSError("lost")
+
+        patch.setattr(ingestion, "_write", lost)
+        ingestion.resumable_backfill(*arguments, size=1)
+    assert raw.read_raw(spark, path).count() == 2 * 25
+    assert ingestion.resumable_backfill(*arguments, size=1) == 2
+    stored = raw.read_raw(spark, path)
+    assert stored.count() == stored.select(s.ID, s.TIMESTAMP).distinct().count() == 3 * 25
+    assert ingestion.resumable_backfill(*arguments, size=1) == 0
+    notes = ingestion.read_ledger(spark, ledger).collect()
+    assert sorted((r.lote, r.id) for r in notes) == [(0, "btc"), (1, "eth"), (2, "xrp")]
+    other = (*arguments[:-1], "2024-03-01 12:00:00")
+    with pytest.raises((PySparkException, Py4JJavaError)):  # another range is not done, and reads the broken file
+        ingestion.resumable_backfill(*other, size=1)
+
+
 def test_mark_by_folders_opens_no_file(spark, tmp_path):
     path = tmp_path / "raw"
     assert listing.newest_day(spark, str(path)) is None

@@ -19,6 +19,7 @@ TYPES = {
     "double": "DOUBLE",
     "date": "DATE",
     "timestamp_ntz": "TIMESTAMP",
+    "boolean": "BOOLEAN",
 }
 
 

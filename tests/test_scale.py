@@ -433,3 +433,56 @@ def test_top_reports_do_not_sort_globally(fact):
     summary = gold.asset_summary(fact)
     assert "TakeOrderedAndProject" in plan_of(reports.top_by_last_cap(summary))
     assert "TakeOrderedAndProject" in plan_of(reports.market_share(store(summary)))
+
+
+def test_a_bucketed_fact_is_not_shuffled(spark, fact, tmp_path):
+    """Windows and aggregates per asset read it in place, and give the same rows."""
+    from tidemark.sources.tables import publish_bucketed
+
+    spark.sql("CREATE DATABASE buckets")
+    held = publish_bucketed(
+        fact, str(tmp_path), "fact", database="buckets", bucket_by=s.ASSET, sort_by=s.DAY, buckets=4
+    )
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for build in (gold.change_d1, gold.first_last_day, gold.asset_summary):
+            plan = plan_of(build(held))
+            assert "Exchange" not in plan and "Bucketed: true" in plan
+            assert "Exchange" in plan_of(build(fact))
+            assert sorted(map(repr, build(held).collect())) == sorted(map(repr, build(fact).collect()))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.sql("DROP DATABASE buckets CASCADE")
+
+
+def test_quantiles_of_any_range_from_daily_sketches(spark):
+    from tidemark.operators import sketches
+
+    days = [f"2024-{m:02}-{d:02}" for m in (1, 2) for d in range(1, 29)]
+    rnd = random.Random(5)
+    rows = [(d, rnd.choice([None, float("nan"), rnd.gauss(0, 1) + i])) for i, d in enumerate(days) for _ in range(1500)]
+    rows.append(("2024-03-01", None))
+    fact = spark.createDataFrame(rows, f"d string, {s.MEAN_PRICE} double").select(
+        F.col("d").cast("date").alias(s.DAY), s.MEAN_PRICE
+    )
+    daily = store(sketches.daily_sketches(fact, k=200))
+    assert daily.count() == len(days) and daily.agg(F.max(F.length(sketches.SKETCH))).first()[0] < 8000
+
+    def values(inside):
+        return sorted(v for d, v in rows if inside(d) and v is not None and v == v)
+
+    def rank_error(got, of, q):
+        low, high = sum(v < got for v in of) / len(of), sum(v <= got for v in of) / len(of)
+        return max(0, low - q, q - high)
+
+    for first, last in (("2024-01-05", "2024-01-05"), ("2024-01-20", "2024-02-10"), ("2024-01-01", "2024-12-31")):
+        of = values(lambda d: first <= d <= last)
+        held = daily.where(F.col(s.DAY).between(F.lit(first).cast("date"), F.lit(last).cast("date")))
+        for q in (0.0, 0.1, 0.5, 1.0):
+            r = sketches.quantile_of(held, q, k=200).first()
+            assert r[sketches.COUNT] == len(of)
+            assert rank_error(r[sketches.VALUE], of, q) < 0.03  # at this small size
+    assert sketches.quantile_of(daily.where("false"), 0.5).count() == 0
+    exact_ = sketches.quantile_of(sketches.daily_sketches(fact.where(F.col(s.DAY) == F.lit("2024-01-03").cast("date"))), 0.5)
+    of = values(lambda d: d == "2024-01-03")
+    assert exact_.first()[sketches.VALUE] in of[len(of) // 2 - 1 : len(of) // 2 + 1]

@@ -14,6 +14,7 @@ from tidemark.sources import listing as folders
 from tidemark.sources import raw
 from tidemark.sources.files import store
 
+LEDGER = f"inicio string, fim string, lote bigint, {s.ID} string"
 COVERAGE = f"{s.ID} string, {s.LOAD_DAY} date, {coverage.SAMPLES} bigint"
 
 
@@ -74,6 +75,56 @@ def backfill_load(
     return _write(ingest.backfill_range(rows, start, end), raw_path, merge)
 
 
+def resumable_backfill(
+    spark: SparkSession,
+    payloads: DataFrame,
+    listing: DataFrame,
+    raw_path: str,
+    ledger_path: str,
+    start: dt.datetime | str,
+    end: dt.datetime | str,
+    universe: int = s.UNIVERSE_SIZE,
+    size: int = s.BATCH_SIZE,
+    most_batches: int | None = None,
+) -> int:
+    """Backfill a range in batches of `size` assets, and return how many were loaded now.
+
+    A ledger notes the assets of each batch when its samples are in raw; they are left out when
+    the same range is asked for again, whatever has become of the universe since. A batch
+    whose load failed before its note is loaded again in place of what it wrote. Of a landing in
+    folders by `coin` only those of the batch are read. `most_batches` ends a run early.
+    """
+    asked = (F.lit(str(start)).alias("inicio"), F.lit(str(end)).alias("fim"))
+    done = read_ledger(spark, ledger_path).where((F.col("inicio") == str(start)) & (F.col("fim") == str(end)))
+    chosen = store(ingest.dimension(ingest.top_universe(listing, universe)), "dimension")
+    open_ = store(ingest.asset_batches(chosen.join(done, s.ID, "left_anti"), size), "batches")
+    before, batches = done.agg(F.max("lote")).first()[0], open_.agg(F.max("lote")).first()[0]
+    before, batches = -1 if before is None else before, 0 if batches is None else batches + 1
+    batches = batches if most_batches is None else min(batches, most_batches)
+    for lote in range(batches):
+        batch = open_.where(F.col("lote") == lote)
+        ids = [r[0] for r in batch.select(s.ID).collect()]  # at most `size`
+        rows = ingest.attach_dimension(ingest.flatten_payload(payloads.where(F.col("coin").isin(ids))), batch)
+        _write(ingest.backfill_range(rows, start, end), raw_path, merge=True)
+        note = batch.select(*asked, (F.col("lote") + before + 1).alias("lote"), s.ID)
+        note.coalesce(1).write.mode("append").parquet(ledger_path)
+    return batches
+
+
+def read_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
+    """(start, end, batch, id) of finished batches; empty while there is none."""
+    return _read_or_empty(spark, ledger_path, LEDGER)
+
+
+def _read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def gap_load(
     spark: SparkSession,
     payloads: DataFrame,
@@ -114,13 +165,7 @@ def add_coverage(rows: DataFrame, coverage_path: str) -> None:
 
 def read_coverage(spark: SparkSession, coverage_path: str) -> DataFrame:
     """Coverage of all loads noted so far; empty while there is none."""
-    try:
-        parts = spark.read.schema(COVERAGE).parquet(coverage_path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        parts = spark.createDataFrame([], COVERAGE)
-    return coverage.merge_coverage(parts)
+    return coverage.merge_coverage(_read_or_empty(spark, coverage_path, COVERAGE))
 
 
 def _write(rows: DataFrame, raw_path: str, merge: bool) -> bool:

@@ -255,6 +255,14 @@ _CONTROLS = [
     for figure in figures
 ]
 _FLAGSHIP = "\nUNION ALL ".join(_CONTROLS)
+_BUCKETED = "\nUNION ALL ".join(
+    [c for c in _CONTROLS if f"'{s.GOLD_CHANGE}'" in c or f"'{s.GOLD_ASSET}'" in c]
+    + [
+        f"""SELECT 'primeiro_e_ultimo_dia' AS tabela, COUNT(*) AS linhas,
+  MIN(data_primeiro_dia) AS primeiro_dia, MAX(data_ultimo_dia) AS ultimo_dia,
+  'preco_ultimo_dia_usd' AS coluna, {_sum('preco_ultimo_dia_usd')} AS total_controle FROM ends"""
+    ]
+)
 _KEPT_CURRENT = "\nUNION ALL ".join(c for c in _CONTROLS if s.SILVER_DAILY not in c)
 
 _BRONZE = """SELECT id, symbol, name, CAST("timestamp" AS VARCHAR) AS "timestamp",
@@ -348,6 +356,7 @@ ORACLE: dict[str, str] = {
   value AS current_price, value * 2 AS market_cap,
   CAST(event_id % 50 AS DOUBLE) AS total_volume FROM events""",
     "ingest_backfill": _samples_between(*BACKFILL),
+    "backfill_resume": _samples_between(*BACKFILL),
     # the first run loads its last complete day, the others what follows it
     "ingest_daily": _samples_between("2024-01-05 00:00:00", "2024-01-18 23:59:59.999"),
     "dim_lookup": """SELECT CAST(l_suppkey AS VARCHAR) AS id,
@@ -435,6 +444,13 @@ FROM daily GROUP BY 1""",
     ),
     "first_last_day": _with(*_TRADE_FACT, _ENDS, then="SELECT * FROM ends"),
     "gold_asset_summary": _with(*_TRADE_ASSET, then="SELECT * FROM asset"),
+    "gold_median_range": _with(
+        *_TRADE_FACT,
+        then="""SELECT STRFTIME(data_referencia, '%Y-%m') AS mes, COUNT(preco_medio_usd) AS qtd_valores,
+  TRUE AS dentro_do_limite FROM fact GROUP BY 1
+UNION ALL SELECT 'todos', COUNT(preco_medio_usd), TRUE FROM fact""",
+    ),
+    "gold_bucketed": _with(*_TRADE_ASSET, _CHANGE, then=_BUCKETED),
     "gold_incremental": _with(
         *_EVENT_FACT,
         _ENDS,

@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schema as s
-from tidemark.functions import numbers
-from tidemark.operators import bronze, coverage, gold, ingest, quarantine, reports, silver
+from tidemark.functions import calendar, numbers
+from tidemark.operators import bronze, coverage, gold, ingest, quarantine, reports, silver, sketches
 from tidemark.plans.bindings import event_observations, table, trade_observations
 from tidemark.plans.ingestion import (
     add_coverage,
@@ -18,10 +18,12 @@ from tidemark.plans.ingestion import (
     daily_load,
     gap_load,
     landed_observations,
+    resumable_backfill,
 )
 from tidemark.plans.market import publish_bronze, refresh_tables
 from tidemark.sources import listing, raw
 from tidemark.sources.files import store, work_path
+from tidemark.sources.tables import publish_bucketed
 from tidemark.streaming import bronze as bronze_flow
 from tidemark.streaming import dedup as dedup_flow
 from tidemark.streaming import evolution as evolution_flow
@@ -169,6 +171,16 @@ def ingest_backfill(spark: SparkSession, folder: str) -> DataFrame:
     return _by_instant(raw.read_raw(spark, path).select(s.OBSERVATION_COLUMNS))
 
 
+def backfill_resume(spark: SparkSession, folder: str) -> DataFrame:
+    """A backfill in batches that is cut after the first one and run again."""
+    path, ledger, landing = (work_path(spark, n) for n in ("raw", "ledger", "payloads"))
+    _land_payloads(spark, folder).hint("rebalance", "coin").write.partitionBy("coin").json(landing)
+    landed = raw.read_payloads(spark, landing), _land_listing(spark, folder)
+    for most in (1, None, None):  # the last run finds nothing left
+        resumable_backfill(spark, *landed, path, ledger, *BACKFILL, most_batches=most)
+    return _by_instant(raw.read_raw(spark, path).select(s.OBSERVATION_COLUMNS))
+
+
 def ingest_daily(spark: SparkSession, folder: str) -> DataFrame:
     """A first load, the days that follow it, and a run that finds nothing due."""
     path = work_path(spark, "raw")
@@ -654,6 +666,46 @@ def gold_incremental(spark: SparkSession, folder: str) -> DataFrame:
     return _controls({name: gold_flow.read_table(spark, root, name) for name in kept})
 
 
+def gold_median_range(spark: SparkSession, folder: str) -> DataFrame:
+    """The median price of each month and of all days, merged from stored daily sketches, and
+    whether its rank is as near to the middle as stated."""
+    fact = store(_fact(spark, folder).select(s.DAY, s.MEAN_PRICE), "fact")
+    daily = store(sketches.daily_sketches(fact), "sketches")
+    month = calendar.month_of(s.DAY)
+    medians = sketches.quantile_of(daily.withColumn(s.MONTH, month), 0.5, s.MONTH)
+    whole = sketches.quantile_of(daily.withColumn(s.MONTH, F.lit("todos")), 0.5, s.MONTH)
+    rows = fact.withColumn(s.MONTH, F.explode(F.array(month, F.lit("todos"))))
+    value = F.col(sketches.VALUE)
+    checked = rows.join(medians.unionByName(whole), s.MONTH).groupBy(s.MONTH, sketches.COUNT)
+    ranks = checked.agg(
+        F.avg((F.col(s.MEAN_PRICE) < value).cast("int")).alias("abaixo"),
+        F.avg((F.col(s.MEAN_PRICE) <= value).cast("int")).alias("ate"),
+    )
+    near = (F.col("abaixo") <= 0.5 + sketches.RANK_ERROR) & (F.col("ate") >= 0.5 - sketches.RANK_ERROR)
+    return ranks.select(s.MONTH, sketches.COUNT, near.alias("dentro_do_limite"))
+
+
+def gold_bucketed(spark: SparkSession, folder: str) -> DataFrame:
+    """Change, first and last day, and history off a fact in buckets by asset: their controls."""
+    database, place = f"marts_{uuid.uuid4().hex}", work_path(spark, "catalog")
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{place}'")
+    fact = publish_bucketed(
+        _fact(spark, folder), work_path(spark, "tables"), s.SILVER_FACT,
+        database=database, bucket_by=s.ASSET, sort_by=s.DAY, buckets=8,
+    )
+    tables = {s.GOLD_CHANGE: gold.change_d1(fact), s.GOLD_ASSET: gold.asset_summary(fact)}
+    ends = gold.first_last_day(fact)
+    first_last = ends.agg(
+        F.lit("primeiro_e_ultimo_dia").alias("tabela"),
+        F.count("*").alias("linhas"),
+        F.min("data_primeiro_dia").alias("primeiro_dia"),
+        F.max("data_ultimo_dia").alias("ultimo_dia"),
+        F.lit("preco_ultimo_dia_usd").alias("coluna"),
+        numbers.exact_sum("preco_ultimo_dia_usd").alias("total_controle"),
+    )
+    return _controls(tables).unionByName(first_last)
+
+
 def catalog_tables(spark: SparkSession, folder: str) -> DataFrame:
     """Every layer published under a name, then looked up by it: rows, comment and tag."""
     names = ("raw", "bronze", "offsets", "tables", "catalog")
@@ -688,6 +740,7 @@ QUERIES: dict[str, Query] = {
         catalog_tables,
         payload_flatten,
         ingest_backfill,
+        backfill_resume,
         ingest_daily,
         dim_lookup,
         universe_topn,
@@ -728,6 +781,8 @@ QUERIES: dict[str, Query] = {
         first_last_day,
         gold_asset_summary,
         gold_incremental,
+        gold_median_range,
+        gold_bucketed,
         report_top20,
         report_latest_price,
         report_share,
