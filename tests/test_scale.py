@@ -486,3 +486,18 @@ def test_quantiles_of_any_range_from_daily_sketches(spark):
     exact_ = sketches.quantile_of(sketches.daily_sketches(fact.where(F.col(s.DAY) == F.lit("2024-01-03").cast("date"))), 0.5)
     of = values(lambda d: d == "2024-01-03")
     assert exact_.first()[sketches.VALUE] in of[len(of) // 2 - 1 : len(of) // 2 + 1]
+
+
+def test_dedup_sorts_disputed_rows_only(spark):
+    """Copies that agree are hashed away; where they disagree the greatest row stays."""
+    rows = [(f"a{i % 50}", "2024-01-01 00:00:%02d" % (i % 7), float(i % 350), 1.0, 1.0) for i in range(1000)]
+    rows += [(None, "2024-01-01 00:00:00", v, None, 1.0) for v in (1.0, 2.0, 2.0)]
+    frame = spark.createDataFrame(rows, "id string, t string, current_price double, market_cap double, total_volume double")
+    df = store(frame.select("id", F.col("t").cast("timestamp").alias(s.TIMESTAMP), "current_price", "market_cap", "total_volume"))
+    got = ingest.dedup_observations(df)
+    best = {}
+    for i, t, price, *_ in rows:
+        best[i, t] = max(best.get((i, t), price), price)
+    assert {(r.id, str(r.timestamp)): r.current_price for r in got.collect()} == best
+    undisputed = plan_of(got).split("SortAggregate")[0]  # the one over what is disputed comes last
+    assert "LeftAnti" in undisputed and "HashAggregate" in undisputed

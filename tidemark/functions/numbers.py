@@ -8,10 +8,12 @@ value rather than of its binary neighbour.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MEASURE_TYPE = "decimal(28,8)"
+# of that size on a number has no place in it
+LIMIT = 1e20
 ROUNDING_TYPE = "decimal(38,10)"
 
 
@@ -59,6 +61,53 @@ def exact_sum(column: str | Column, digits: int | None = None) -> Column:
     exact, large = F.sum(measure(column)), F.sum(oversized(column))
     if digits is None:
         return combined(exact, large)
+    return _rounded_total(exact, large, digits)
+
+
+def with_summable(df: DataFrame, *columns: str) -> DataFrame:
+    """Make the columns finite doubles and add of each the part that decimals hold and the
+    part beyond them. Each number is read and compared once, below the aggregate."""
+    df = df.withColumns({c: finite(c) for c in columns})
+    parts = {}
+    for c in columns:
+        held = F.abs(c) < LIMIT
+        parts[f"{c}_exato"] = F.when(held, F.col(c)).cast(MEASURE_TYPE)
+        parts[f"{c}_grande"] = F.when(~held, F.col(c))
+    return df.withColumns(parts)
+
+
+def state_columns(*columns: str) -> list[Column]:
+    """Aggregates over `with_summable` that may be stored and added up later: two sums and
+    the count of the numbers."""
+    return [
+        part
+        for c in columns
+        for part in (
+            F.sum(f"{c}_exato").alias(f"{c}_soma"),
+            F.sum(f"{c}_grande").alias(f"{c}_soma_grande"),
+            F.count(c).alias(f"{c}_qtd"),
+        )
+    ]
+
+
+def mean_of_states(column: str, digits: int) -> Column:
+    """ROUND(AVG(column), digits) over all rows behind such states, nulls ignored."""
+    total = combined(F.sum(f"{column}_soma"), F.sum(f"{column}_soma_grande"))
+    return half_up(total / F.nullif(F.sum(f"{column}_qtd"), F.lit(0)), digits)
+
+
+def mean_of_parts(column: str, digits: int) -> Column:
+    """ROUND(AVG(column), digits) over `with_summable`, nulls ignored."""
+    total = combined(F.sum(f"{column}_exato"), F.sum(f"{column}_grande"))
+    return half_up(total / F.nullif(F.count(column), F.lit(0)), digits)
+
+
+def total_of_parts(column: str, digits: int) -> Column:
+    """ROUND(SUM(column), digits) over `with_summable`, nulls ignored."""
+    return _rounded_total(F.sum(f"{column}_exato"), F.sum(f"{column}_grande"), digits)
+
+
+def _rounded_total(exact: Column, large: Column, digits: int) -> Column:
     return F.when(large.isNull(), F.round(exact, digits).cast("double")).otherwise(
         half_up(combined(exact, large), digits)
     )

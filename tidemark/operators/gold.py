@@ -17,6 +17,8 @@ from tidemark.operators import placement
 
 RANKS = {"rank_valor_mercado": s.MEAN_CAP, "rank_volume": s.MEAN_VOLUME}
 
+_MEASURES = (s.MEAN_PRICE, s.MEAN_CAP, s.MEAN_VOLUME)
+
 # a day with more assets than this is ranked across the cluster, not in one task
 DAY_ROWS_PER_TASK = 1_000_000
 
@@ -91,17 +93,18 @@ def market_summary(fact: DataFrame, accuracy: int = MEDIAN_ACCURACY) -> DataFram
     """
     median = F.percentile_approx(s.MEAN_PRICE, 0.5, accuracy)
     return (
-        fact.groupBy(s.DAY)
+        numbers.with_summable(fact, *_MEASURES)
+        .groupBy(s.DAY)
         .agg(
             F.count("*").alias("qtd_moedas"),
-            numbers.exact_sum(s.MEAN_CAP, s.MONEY_DIGITS).alias("valor_mercado_total_usd"),
-            numbers.exact_sum(s.MEAN_VOLUME, s.MONEY_DIGITS).alias("volume_total_usd"),
-            numbers.exact_mean(s.MEAN_PRICE, s.PRICE_DIGITS).alias("preco_medio_geral_usd"),
+            numbers.total_of_parts(s.MEAN_CAP, s.MONEY_DIGITS).alias("valor_mercado_total_usd"),
+            numbers.total_of_parts(s.MEAN_VOLUME, s.MONEY_DIGITS).alias("volume_total_usd"),
+            numbers.mean_of_parts(s.MEAN_PRICE, s.PRICE_DIGITS).alias("preco_medio_geral_usd"),
             numbers.half_up(median, s.PRICE_DIGITS).alias("preco_mediano_geral_usd"),
-            numbers.exact_mean(s.MEAN_CAP, s.MONEY_DIGITS).alias(
+            numbers.mean_of_parts(s.MEAN_CAP, s.MONEY_DIGITS).alias(
                 "valor_mercado_medio_por_moeda_usd"
             ),
-            numbers.exact_mean(s.MEAN_VOLUME, s.MONEY_DIGITS).alias(
+            numbers.mean_of_parts(s.MEAN_VOLUME, s.MONEY_DIGITS).alias(
                 "volume_medio_por_moeda_usd"
             ),
             _top(s.MEAN_CAP).alias("by_cap"),
@@ -125,7 +128,6 @@ def first_last_day(fact: DataFrame) -> DataFrame:
     )
 
 
-_HISTORY_MEASURES = (s.MEAN_PRICE, s.MEAN_CAP, s.MEAN_VOLUME)
 _FIRST, _LAST = "data_primeiro_dia", "data_ultimo_dia"
 
 
@@ -143,20 +145,12 @@ def asset_summary(fact: DataFrame) -> DataFrame:
 def history_state(fact: DataFrame, *within: str) -> DataFrame:
     """Days of the fact folded per asset, symbol and name, and the columns in `within`: sums,
     counts, extremes, first and last values. States of different days merge."""
-    summable = fact.withColumns(
-        {f"{m}_exato": numbers.measure(m) for m in _HISTORY_MEASURES}
-        | {f"{m}_grande": numbers.oversized(m) for m in _HISTORY_MEASURES}
-    )
-    return summable.groupBy(*within, s.ASSET, s.LABEL, s.TITLE).agg(
+    split = numbers.with_summable(fact, *_MEASURES)
+    return split.groupBy(*within, s.ASSET, s.LABEL, s.TITLE).agg(
         F.min(s.DAY).alias(_FIRST),
         F.max(s.DAY).alias(_LAST),
         F.count("*").alias("dias"),
-        *[F.sum(f"{m}_exato").alias(f"{m}_soma") for m in _HISTORY_MEASURES],
-        *[F.sum(f"{m}_grande").alias(f"{m}_soma_grande") for m in _HISTORY_MEASURES],
-        *[
-            F.count(F.coalesce(F.col(f"{m}_exato").cast("double"), F.col(f"{m}_grande"))).alias(f"{m}_dias")
-            for m in _HISTORY_MEASURES
-        ],
+        *numbers.state_columns(*_MEASURES),
         F.min(s.MEAN_PRICE).alias("menor"),
         F.max(s.MEAN_PRICE).alias("maior"),
         *_ends(),
@@ -171,22 +165,17 @@ def summary_of_states(states: DataFrame) -> DataFrame:
     last_volume = "volume_ultimo_dia_usd"
     first, last = _FIRST, _LAST
 
-    def mean(m: str, digits: int):
-        days = F.nullif(F.sum(f"{m}_dias"), F.lit(0))
-        total = numbers.combined(F.sum(f"{m}_soma"), F.sum(f"{m}_soma_grande"))
-        return numbers.half_up(total / days, digits)
-
     history = states.groupBy(s.ASSET).agg(
         F.max(s.LABEL).alias(s.LABEL),
         F.max(s.TITLE).alias(s.TITLE),
         F.min(first).alias(first),
         F.max(last).alias(last),
         F.sum("dias").alias("qtd_dias_com_dados"),
-        mean(s.MEAN_PRICE, s.PRICE_DIGITS).alias("preco_medio_historico_usd"),
+        numbers.mean_of_states(s.MEAN_PRICE, s.PRICE_DIGITS).alias("preco_medio_historico_usd"),
         numbers.half_up(F.min("menor"), s.PRICE_DIGITS).alias("preco_min_historico_usd"),
         numbers.half_up(F.max("maior"), s.PRICE_DIGITS).alias("preco_max_historico_usd"),
-        mean(s.MEAN_CAP, s.MONEY_DIGITS).alias(mean_cap),
-        mean(s.MEAN_VOLUME, s.MONEY_DIGITS).alias(mean_volume),
+        numbers.mean_of_states(s.MEAN_CAP, s.MONEY_DIGITS).alias(mean_cap),
+        numbers.mean_of_states(s.MEAN_VOLUME, s.MONEY_DIGITS).alias(mean_volume),
         ordering.earliest("preco_primeiro_dia_usd", first).alias("preco_primeiro_dia_usd"),
         ordering.newest("preco_ultimo_dia_usd", last).alias("preco_ultimo_dia_usd"),
         ordering.newest(last_cap, last).alias(last_cap),

@@ -152,12 +152,28 @@ def asset_batches(
 def dedup_observations(observations: DataFrame) -> DataFrame:
     """One row per (id, timestamp): repeated loads must not weigh twice in a mean.
 
-    Copies fold together before the shuffle. Where copies disagree the greatest row
-    is kept, so the result does not depend on load order.
+    Equal rows fold together by hashing, before the shuffle and after it. What is left of a
+    key is one row, but for the keys whose copies disagree; these are counted out by their
+    keys alone, and of each the greatest row is kept, so the result does not depend on load
+    order. The planner broadcasts the disputed keys while they measure small. No task
+    sorts more than the disputed rows.
     """
     keys = [s.ID, s.TIMESTAMP]
     rest = [c for c in observations.columns if c not in keys]
-    kept = F.max(F.struct(*rest)).alias("kept")
-    return (
-        observations.groupBy(*keys).agg(kept).select(*keys, "kept.*").select(*observations.columns)
+    rows = observations.distinct()
+    disputed = (
+        rows.groupBy(*keys)
+        .agg(F.count("*").alias("_rows"))
+        .where("_rows > 1")
+        .select(*[F.col(k).alias(f"_{k}") for k in keys])
+    )
+    same = F.lit(True)
+    for key in keys:
+        same = same & F.col(key).eqNullSafe(F.col(f"_{key}"))
+    greatest = (
+        rows.join(disputed, same, "left_semi")
+        .groupBy(*keys)
+        .agg(F.max(F.struct(*rest)).alias("kept"))
+        .select(*keys, "kept.*")
     )
+    return rows.join(disputed, same, "left_anti").unionByName(greatest.select(*observations.columns))

@@ -371,6 +371,8 @@ FROM obs GROUP BY 1, 2, 3 ORDER BY 4 DESC, id LIMIT 50""",
     "ingest_high_water_mark": "SELECT MAX(CAST(ts AS DATE)) AS ultima_data FROM events",
     "ingest_mark_listing": "SELECT MAX(CAST(ts AS DATE)) AS ultima_data FROM events",
     "ingest_plan": _with(_EVENTS, then=_PLAN),
+    "ingest_window_today": """SELECT CAST(MAX(CAST(ts AS DATE)) + 1 AS DATE) AS inicio,
+  CAST(CAST(now() AT TIME ZONE 'UTC' AS DATE) - 2 AS DATE) AS fim FROM events""",
     "ingest_gap_plan": _with(_EVENTS, _GAPS, then=_GAP_PLAN),
     "ingest_gap_load": _samples_between(f"{GAPS_SINCE} 00:00:00", "2024-02-03 23:59:59.999"),
     "backfill_range": _with(

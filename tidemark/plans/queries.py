@@ -232,6 +232,13 @@ def ingest_mark_listing(spark: SparkSession, folder: str) -> DataFrame:
     return spark.range(1).select(day.cast("date").alias("ultima_data"))
 
 
+def ingest_window_today(spark: SparkSession, folder: str) -> DataFrame:
+    """The days due by today's date, after the last one of raw."""
+    rows = raw.with_load_partitions(_events(spark, folder))
+    first, last = ingest.load_window(ingest.high_water_mark(rows))
+    return spark.range(1).select(first.alias("inicio"), last.alias("fim"))
+
+
 def _partly_loaded(rows: DataFrame) -> DataFrame:
     """Rows without those of some assets, and without half the assets on one day."""
     number = F.col(s.ID).cast("int")
@@ -747,6 +754,7 @@ QUERIES: dict[str, Query] = {
         ingest_high_water_mark,
         ingest_mark_listing,
         ingest_plan,
+        ingest_window_today,
         ingest_gap_plan,
         ingest_gap_load,
         backfill_range,
