@@ -84,7 +84,8 @@ def test_search_takes_ties_and_bad_vectors(spark):
     rows += [(6, [1.0, 1.0, 1.0]), (7, []), (1, [1.0, 0.0]), (None, [1.0, 0.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     got = [tuple(r) for r in topk.search(df, F.col("vec_id") == 0, shard_rows=2).collect()]
-    assert sorted(got) == [(0, 1, 1, 128 * 256), (0, 2, 2, 128 * 256)]
+    # every row but the query's own is a candidate, a repeated one too
+    assert sorted(got) == [(0, 1, 1, 128 * 256), (0, 2, 1, 128 * 256), (0, 3, 2, 128 * 256)]
     assert topk.search(df.where("false"), F.col("vec_id") == 0).count() == 0
 
 
@@ -99,6 +100,21 @@ def test_search_prunes_nothing_it_needs(terms):
         assert list(zip((-score[q == i]).tolist(), ids[q == i].tolist(), strict=True)) == best
 
 
+def test_search_ranks_repeated_rows_and_reads_named_columns(spark):
+    """As the SQL does: each pair of rows whose ids differ is scored, and ranked under its query."""
+    rows = [(0, [1.0, 0.5]), (0, [1.0, 0.5]), (50, [0.25, 1.0]), (1, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [1.0, 0.0])]
+    df = spark.createDataFrame([(i, v, "q", 9, 7, 1.0) for i, v in rows], "vec_id long, embedding array<double>, id string, v int, rank int, score double")
+    got = topk.search(df, F.col("vec_id") % 50 == 0, shard_rows=2, block_rows=1).collect()
+    want = []
+    for query in (0, 50):
+        pairs = [
+            (-sum(int(256 * a) * int(256 * b) for a, b in zip(x, y, strict=True)), j)
+            for i, x in rows if i == query for j, y in rows if j != query
+        ]
+        want += [(query, place, j, -score) for place, (score, j) in enumerate(sorted(pairs)[: topk.TOP], 1)]
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
 def test_token_counts_are_the_library_s(spark, odd):
     library = Tokenizer.from_file(BYTE_VOCABULARY)
     given = texts(spark) + [(i, t) for i, t in ODD]

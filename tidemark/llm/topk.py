@@ -17,8 +17,10 @@ Scores are exact 64-bit integers while they and all partial sums lie below 2^63.
 
 Edge cases: vectors that are null or hold a null or non-finite component take no part;
 only vectors of equal length are compared; empty vectors score 0 with each other; a row
-whose id equals the query's is the query's own; ties go to the smaller id; rows repeated
-in whole count once, a null id is no query and no candidate; an empty table gives no rows.
+whose id equals the query's is the query's own; ties go to the smaller id; repeated rows
+are candidates like others, each with a rank of its own; the pairs of rows that share a query's
+id are ranked together; a null id is no query and no candidate; an empty table gives no rows. Only the named columns
+are read, whatever the others are called.
 """
 
 from __future__ import annotations
@@ -175,13 +177,10 @@ def _numbers(count: int) -> Column:
 
 
 def _matrix(table: pa.Table, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and vectors; rows repeated in whole come once."""
+    """Ids and vectors."""
     table = table.combine_chunks()
     ids = table.column("id").to_numpy().astype(np.int64)
     flat = table.column("v").combine_chunks()
     flat = flat.chunk(0) if isinstance(flat, pa.ChunkedArray) and flat.num_chunks else flat
     values = flat.flatten().to_numpy().astype(np.int64) if len(ids) else np.zeros(0, np.int64)
-    whole = np.column_stack([ids, values.reshape(len(ids), size)]) if len(ids) else np.zeros((0, size + 1), np.int64)
-    if len(np.unique(ids)) < len(ids):
-        whole = np.unique(whole, axis=0)
-    return whole[:, 0], whole[:, 1:]
+    return ids, values.reshape(len(ids), size)
