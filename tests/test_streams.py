@@ -9,7 +9,7 @@ from tidemark.operators import bronze, quarantine
 from tidemark.plans import ingestion
 from tidemark.sources import raw
 from tidemark.streaming import bronze as bronze_flow
-from tidemark.streaming import dedup, evolution
+from tidemark.streaming import cursor, dedup, evolution
 
 
 def test_repeats_are_dropped_over_runs(spark, tmp_path):
@@ -132,3 +132,42 @@ def test_samples_of_unlisted_assets_are_reported(spark, tmp_path):
     assert counts[quarantine.KEPT] == 2 and counts[quarantine.UNLISTED] == 2 and counts[quarantine.NO_ASSET] == 1
     assert ingestion.landed_observations(payloads, listing).count() == 2
     assert spark.read.parquet(str(tmp_path / "rejected")).where("id = 'new'").count() == 2
+
+
+def test_only_changed_months_are_looked_at(spark, tmp_path):
+    source, target, checkpoints = (str(tmp_path / n) for n in ("raw", "bronze", "offsets"))
+    rows = observations(spark, MARKET)
+
+    def run():
+        return cursor.bronze_by_month(spark, source, target, checkpoints)
+
+    assert run() == [] and cursor.read_bronze_by_month(spark, target).count() == 0
+    raw.write_raw(rows, source)
+    assert run() == ["2024-02", "2024-03"]
+    assert run() == []  # nothing changed: no stream starts
+    late = rows.where("id = 'eth'").limit(1)  # of February, after March was read
+    raw.write_raw(late, source)
+    assert run() == ["2024-02"]
+    assert cursor.read_bronze_by_month(spark, target).count() == len(MARKET) + 1
+    assert cursor.read_bronze_by_month(spark, target, ["2024-03"]).count() == 2
+    dateless = rows.limit(2).withColumn(s.TIMESTAMP, F.lit(None).cast("timestamp"))
+    raw.write_raw(dateless, source)
+    assert len(run()) == 1
+    assert cursor.read_bronze_by_month(spark, target).count() == len(MARKET) + 3
+    assert len(cursor.read_cursor(spark, checkpoints)) == 3  # a line for each month, however many files
+
+
+def test_a_month_that_failed_is_looked_at_again(spark, tmp_path, monkeypatch):
+    source, target, checkpoints = (str(tmp_path / n) for n in ("raw", "bronze", "offsets"))
+    raw.write_raw(observations(spark, MARKET), source)
+    load = cursor.bronze_stream
+
+    def lost(*a, **k):
+        load(*a, **k)
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch, pytest.raises(OSError, match="lost"):
+        patch.setattr(cursor, "bronze_stream", lost)
+        cursor.bronze_by_month(spark, source, target, checkpoints)
+    assert cursor.bronze_by_month(spark, source, target, checkpoints) == ["2024-02", "2024-03"]
+    assert cursor.read_bronze_by_month(spark, target).count() == len(MARKET)

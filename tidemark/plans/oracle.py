@@ -397,6 +397,7 @@ FROM obs GROUP BY 1, 2, 3 ORDER BY 4 DESC, id LIMIT 50""",
     "bronze_quality": _with(_SPOILED, then=_QUALITY),
     "bronze_stream": _with(_EVENTS, then=_BRONZE),
     "bronze_stream_dedup": _with(_EVENTS, then=_BRONZE),
+    "bronze_stream_cursor": _with(_EVENTS, then=_BRONZE),
     "schema_evolution": f"""SELECT event_id, ts, user_id,
   CASE WHEN ts >= TIMESTAMP '{OVERLAP_FROM}' THEN event_type END AS event_type FROM events""",
     "schema_evolution_auto": f"""SELECT event_id, ts, user_id,

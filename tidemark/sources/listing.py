@@ -16,16 +16,16 @@ def _folder(spark: SparkSession, path: str):
     return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
 
 
-def partitions_of(spark: SparkSession, path: str, column: str) -> list[tuple[str, str]]:
-    """(value, folder) of the subfolders `column=value`, the greatest value first. Folders of
-    the null value are left out."""
+def partitions_of(spark: SparkSession, path: str, column: str, null: bool = False) -> list[tuple[str, str]]:
+    """(value, folder) of the subfolders `column=value`, the greatest value first. The folder of
+    the null value is left out, unless `null` asks for it."""
     files, at = _folder(spark, path)
     if not files.exists(at):
         return []
     found = []
     for status in files.listStatus(at):
         name, separator, value = status.getPath().getName().partition("=")
-        if status.isDirectory() and name == column and separator and value != _NULL:
+        if status.isDirectory() and name == column and separator and (null or value != _NULL):
             found.append((value, status.getPath().toString()))
     return sorted(found, reverse=True)
 
@@ -56,3 +56,17 @@ def newest_day(spark: SparkSession, path: str) -> str | None:
 def _days(spark: SparkSession, path: str) -> Iterator[tuple[str, str]]:
     for _, month in partitions_of(spark, path, s.MONTH):
         yield from partitions_of(spark, month, s.LOAD_DAY)
+
+
+def content_of(spark: SparkSession, path: str) -> tuple[int, int, int]:
+    """Number of the data files below a folder, their bytes, and the newest change. The files are
+    walked through one by one and none of their names is kept."""
+    files, at = _folder(spark, path)
+    count = size = newest = 0
+    found = files.listFiles(at, True)
+    while found.hasNext():
+        status = found.next()
+        if status.getPath().getName()[0] not in "._":
+            count, size = count + 1, size + status.getLen()
+            newest = max(newest, status.getModificationTime())
+    return count, size, newest
