@@ -321,6 +321,21 @@ def test_secrets_by_brute_force(spark, odd, none):
     assert secret_scan.scan(odd).count() == len(ODD) and secret_scan.scan(none).count() == 0
 
 
+def test_short_and_dotted_secrets_are_candidates(spark):
+    """A learned format is found without its keyword, whatever its length and with its dots; a
+    full stop or a neighbouring base span does not hide it."""
+    short = [hashlib.md5(str(i).encode()).hexdigest()[:12] for i in range(300)]
+    dotted = [".".join(re.findall("....", hashlib.md5(s.encode()).hexdigest()[:12].upper())) for s in short]
+    values = [v for pair in zip(short, dotted, strict=True) for v in pair]
+    rows = [(i, f"token = {v} here") for i, v in enumerate(values[:-2])]
+    plain = "Some ordinary words, and a sentence. Another one begins at www.example.org or in a list of things."
+    rows += [(900, f"a {short[-1]} b"), (901, f"it is {short[-1]}."), (902, f"a {dotted[-1]} b"), (903, plain)]
+    rows += [(904, f"token={short[0]}.. {short[-1]}.")]
+    got = {r.doc_id: [(s.start, s.end) for s in r.spans if not s.base] for r in secret_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[900] == [(2, 14)] and got[901] == [(6, 18)] and got[902] == [(2, 16)]
+    assert got[903] == [] and got[904] == [(21, 33)]
+
+
 def test_pipeline_stages(spark, tmp_path):
     text = "this is some english text about a small house on the green hill number "
     other = "dies ist ein deutscher text ueber das kleine haus auf dem huegel nummer "

@@ -4,9 +4,10 @@ Method: grammar inference. The labelled credentials are what the three base rule
 in the corpus (the value of an assignment, an access key, a hex string). For each kind
 their prefix tree is built and its states are merged while their outgoing frequencies are
 statistically compatible (state merging in breadth-first order under a Hoeffding bound),
-which leaves a probabilistic automaton of the kind's format. Every candidate (a run of
-credential characters of MIN_CANDIDATE or more) is then scored by each automaton: its mean
-log-likelihood per character, the end included. A candidate is a secret if a kind gives it
+which leaves a probabilistic automaton of the kind's format. Every candidate (a run of the
+characters that any rule takes, as long as the least value of any rule; where it is none, its
+parts between dots) is then scored by each automaton: its mean log-likelihood per
+character, the end included. A candidate is a secret if a kind gives it
 at least the score that all but one in a hundred of that kind's own labelled credentials
 reach, and a better one than plain numbers or plain words of any letters would have; one
 or two characters over and over are none. The best kind names it. Such spans are added
@@ -26,6 +27,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 
 import pyarrow as pa
@@ -49,11 +51,11 @@ RULES = [
     ("access", r"AKIA[A-Z0-9]+", 0, 20),
     ("hex", r"[0-9a-f]+", 0, 24),
 ]
-CANDIDATE = r"[A-Za-z0-9+/_=-]{%d,}"
+CANDIDATE = r"[A-Za-z0-9+/_.=-]{%d,}"  # the characters of all rules together
 # ---------------------------------------------------------------------------
 
 KINDS = [kind for kind, *_ in RULES]
-MIN_CANDIDATE = 16
+MIN_CANDIDATE = min(least for *_, least in RULES)
 MAX_VALUE = 256
 SAMPLE_ROWS = 800
 CONFIDENCE = 0.05
@@ -206,19 +208,45 @@ class Formats:
         return -max(scores)[1] if bits >= LEAST_BITS else None
 
     def added(self, text: str, base: list[tuple[int, int, int, str]]) -> list[tuple[int, int, int]]:
-        """(start, index of the kind, end) of candidates that touch no base span."""
-        out, held = [], iter(sorted((start, end) for start, _, end, _ in base))
-        span = next(held, None)
+        """(start, index of the kind, end) of candidates that touch no base span: each run of
+        candidate characters, or else the parts of it between dots, as a sentence may end there."""
+        out = []
+        starts, ends = _covered(base)
         for m in _CANDIDATE.finditer(text) if self.known else ():
-            while span and span[1] <= m.start():
-                span = next(held, None)
-            if span and span[0] < m.end():
-                continue
-            if (kind := self.kind(m.group())) is not None:
-                out.append((m.start(), kind, m.end()))
+            for pieces in ([m.span()], _between_dots(m)):
+                found = []
+                for start, end in pieces:
+                    before = bisect_left(starts, end) - 1  # the last base span that begins in time
+                    if before >= 0 and ends[before] > start:
+                        continue
+                    if (kind := self.kind(text[start:end])) is not None:
+                        found.append((start, kind, end))
+                if found:
+                    out += found
+                    break
         return out
 
 
+def _covered(base: list[tuple[int, int, int, str]]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the stretches that base spans cover, in order and apart."""
+    starts: list[int] = []
+    ends: list[int] = []
+    for start, _, end, _ in base:
+        if ends and start < ends[-1]:
+            ends[-1] = max(ends[-1], end)
+        else:
+            starts.append(start)
+            ends.append(end)
+    return starts, ends
+
+
+def _between_dots(run: re.Match) -> list[tuple[int, int]]:
+    if "." not in run.group():
+        return []
+    parts = ((run.start() + m.start(), run.start() + m.end()) for m in re.finditer(r"[^.]+", run.group()))
+    return [(start, end) for start, end in parts if end - start >= MIN_CANDIDATE]
+
+
 def labelled(docs: DataFrame, rows: int, text_column: str) -> dict[str, list[str]]:
     """At most `rows` distinct credentials of each kind."""
 
