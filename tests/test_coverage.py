@@ -169,3 +169,42 @@ def test_mark_by_folders_opens_no_file(spark, tmp_path):
     assert listing.newest_day(spark, str(path)) == "2024-03-02"
     nothing = spark.createDataFrame([], ingestion.s.PAYLOAD)
     assert not ingestion.daily_load(spark, nothing, listed(spark, "btc"), str(path), "2024-03-04")
+
+
+def test_a_landing_in_buckets_keeps_few_folders_and_reads_those_of_the_batch(spark, tmp_path):
+    path, ledger, landed = (str(tmp_path / n) for n in ("raw", "ledger", "by-bucket"))
+    names = [f"coin{i}" for i in range(3 * ingestion.s.COIN_BUCKETS)]
+    moment = 1709251200000.0
+    rows = [(c, [[moment, 1.0]], [[moment, 2.0]], [[moment, 3.0]]) for c in names]
+    payloads = spark.createDataFrame(rows, ingestion.s.PAYLOAD)
+    payloads.withColumn(ingestion.s.COIN_BUCKET, ingestion.ingest.coin_bucket("coin")).hint(
+        "rebalance", ingestion.s.COIN_BUCKET
+    ).write.partitionBy(ingestion.s.COIN_BUCKET).json(landed)
+    folders = glob.glob(f"{landed}/{ingestion.s.COIN_BUCKET}=*")
+    assert len(folders) <= ingestion.s.COIN_BUCKETS < len(names)
+
+    wanted = names[:4]
+    buckets = listed(spark, *wanted).select(ingestion.ingest.coin_bucket(ingestion.s.ID)).collect()
+    kept = {f"{landed}/{ingestion.s.COIN_BUCKET}={r[0]}" for r in buckets}
+    for folder in set(folders) - kept:
+        for file in glob.glob(f"{folder}/*.json"):
+            with open(file, "w") as broken:  # what no batch asks for is not read
+                broken.write("no payload")
+    arguments = (spark, raw.read_payloads(spark, landed), listed(spark, *wanted), path, ledger)
+    assert ingestion.resumable_backfill(*arguments, "2024-03-01", "2024-03-02", size=2) == 2
+    assert sorted(r[0] for r in raw.read_raw(spark, path).select(ingestion.s.ID).collect()) == wanted
+
+
+def test_the_backfill_query_lands_no_folder_per_user(spark, tmp_path, monkeypatch):
+    from tidemark.plans import queries
+
+    users = 2 * ingestion.s.COIN_BUCKETS
+    events = spark.range(users).selectExpr(
+        "id AS event_id", "timestamp_ntz'2024-01-09 00:00:00' AS ts", "id AS user_id",
+        "'view' AS event_type", "CAST(id AS DOUBLE) AS value",
+    )
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(queries, "work_path", lambda _, label: str(tmp_path / f"{label}-{len(list(tmp_path.iterdir()))}"))
+    assert queries.backfill_resume(spark, str(tmp_path)).count() == 50
+    folders = glob.glob(str(tmp_path / "payloads-*" / "*=*"))
+    assert 0 < len(folders) <= ingestion.s.COIN_BUCKETS

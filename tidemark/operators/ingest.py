@@ -48,6 +48,25 @@ def requested_between(payloads: DataFrame, first: dt.date, last: dt.date) -> Dat
     return payloads.where(near | day.isNull())
 
 
+def coin_bucket(coin: str) -> Column:
+    """The folder that holds an asset's responses in a landing laid out by asset."""
+    return F.pmod(F.xxhash64(F.col(coin)), F.lit(s.COIN_BUCKETS)).cast("int")
+
+
+def requested_for(payloads: DataFrame, batch: DataFrame) -> DataFrame:
+    """Payloads of the assets of a batch, whose ids are few.
+
+    A landing in folders by `coin` or by `coin_bucket` is read in the folders of these
+    assets only. Responses without a bucket are all looked at.
+    """
+    found = batch.select(s.ID, coin_bucket(s.ID)).collect()
+    of_batch = F.col("coin").isin([row[0] for row in found])
+    if s.COIN_BUCKET in payloads.columns:
+        bucket = F.col(s.COIN_BUCKET)
+        of_batch &= bucket.isin(sorted({row[1] for row in found})) | bucket.isNull()
+    return payloads.where(of_batch)
+
+
 def dimension(listing: DataFrame) -> DataFrame:
     """(id, symbol, name), one row per id; the greatest label pair wins a conflict."""
     labels = F.max(F.struct(s.SYMBOL, s.NAME)).alias("label")

@@ -92,7 +92,7 @@ def resumable_backfill(
     A ledger notes the assets of each batch when its samples are in raw; they are left out when
     the same range is asked for again, whatever has become of the universe since. A batch
     whose load failed before its note is loaded again in place of what it wrote. Of a landing in
-    folders by `coin` only those of the batch are read. `most_batches` ends a run early.
+    folders by `coin_bucket` or `coin` only those of the batch are read. `most_batches` ends a run early.
     """
     asked = (F.lit(str(start)).alias("inicio"), F.lit(str(end)).alias("fim"))
     done = read_ledger(spark, ledger_path).where((F.col("inicio") == str(start)) & (F.col("fim") == str(end)))
@@ -103,9 +103,9 @@ def resumable_backfill(
     batches = batches if most_batches is None else min(batches, most_batches)
     for lote in range(batches):
         batch = open_.where(F.col("lote") == lote)
-        ids = [r[0] for r in batch.select(s.ID).collect()]  # at most `size`
-        rows = ingest.attach_dimension(ingest.flatten_payload(payloads.where(F.col("coin").isin(ids))), batch)
-        _write(ingest.backfill_range(rows, start, end), raw_path, merge=True)
+        rows = ingest.flatten_payload(ingest.requested_for(payloads, batch))  # of at most `size` assets
+        rows = ingest.backfill_range(ingest.attach_dimension(rows, batch), start, end)
+        _write(store(rows, "batch"), raw_path, merge=True)  # the landed text is read once
         note = batch.select(*asked, (F.col("lote") + before + 1).alias("lote"), s.ID)
         note.coalesce(1).write.mode("append").parquet(ledger_path)
     return batches

@@ -101,12 +101,15 @@ def _without_clock(df: DataFrame) -> DataFrame:
 # --- raw ----------------------------------------------------------------------
 
 
-def _land_payloads(spark: SparkSession, folder: str, by_day: bool = False) -> DataFrame:
+def _land_payloads(
+    spark: SparkSession, folder: str, by_day: bool = False, by_asset: bool = False
+) -> DataFrame:
     """Events folded into range responses, landed as JSON and read back.
 
     A response holds one user's events of one block of 256 event ids, so no user's
     whole history is ever gathered into a row; with `by_day` also of one day, and the
-    landing is laid out by it.
+    landing is laid out by it. With `by_asset` it is laid out by the buckets of the users,
+    as a folder for each would make as many files as there are users.
     """
     days = [F.to_date("ts").alias(s.REQUEST_DAY)] if by_day else []
     epoch = F.lit("1970-01-01").cast("timestamp_ntz")
@@ -132,6 +135,9 @@ def _land_payloads(spark: SparkSession, folder: str, by_day: bool = False) -> Da
     landing = work_path(spark, "payloads")
     if by_day:
         folded.hint("rebalance", s.REQUEST_DAY).write.partitionBy(s.REQUEST_DAY).json(landing)
+    elif by_asset:
+        folded = folded.withColumn(s.COIN_BUCKET, ingest.coin_bucket("coin"))
+        folded.hint("rebalance", s.COIN_BUCKET).write.partitionBy(s.COIN_BUCKET).json(landing)
     else:
         folded.write.json(landing)
     return raw.read_payloads(spark, landing)
@@ -174,9 +180,8 @@ def ingest_backfill(spark: SparkSession, folder: str) -> DataFrame:
 
 def backfill_resume(spark: SparkSession, folder: str) -> DataFrame:
     """A backfill in batches that is cut after the first one and run again."""
-    path, ledger, landing = (work_path(spark, n) for n in ("raw", "ledger", "payloads"))
-    _land_payloads(spark, folder).hint("rebalance", "coin").write.partitionBy("coin").json(landing)
-    landed = raw.read_payloads(spark, landing), _land_listing(spark, folder)
+    path, ledger = work_path(spark, "raw"), work_path(spark, "ledger")
+    landed = _land_payloads(spark, folder, by_asset=True), _land_listing(spark, folder)
     for most in (1, None, None):  # the last run finds nothing left
         resumable_backfill(spark, *landed, path, ledger, *BACKFILL, most_batches=most)
     return _by_instant(raw.read_raw(spark, path).select(s.OBSERVATION_COLUMNS))

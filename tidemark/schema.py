@@ -62,6 +62,11 @@ LAST_SEEN = "ts_ultima_observacao"
 # Our own folder column of a landing that is laid out by the day that was requested.
 REQUEST_DAY = "request_day"
 
+# Our own folder column of a landing that is laid out by asset: a fixed number of folders, each
+# with the responses of all assets that hash to it, however many assets are listed.
+COIN_BUCKET = "coin_bucket"
+COIN_BUCKETS = 256
+
 OBSERVATION = T.StructType(
     [
         T.StructField(ID, T.StringType()),
