@@ -501,3 +501,24 @@ def test_dedup_sorts_disputed_rows_only(spark):
     assert {(r.id, str(r.timestamp)): r.current_price for r in got.collect()} == best
     undisputed = plan_of(got).split("SortAggregate")[0]  # the one over what is disputed comes last
     assert "LeftAnti" in undisputed and "HashAggregate" in undisputed
+
+
+def test_the_check_of_the_medians_moves_no_value_of_the_fact(spark, tmp_path):
+    """The fact is never dealt by month: all days together would be one task's share."""
+    from tidemark.plans import queries
+
+    spark.range(10).selectExpr("id AS s_suppkey", "concat('s', id) AS s_name").write.parquet(
+        str(tmp_path / "supplier.parquet")
+    )
+    spark.range(400).selectExpr(
+        "id % 10 AS l_suppkey", "CAST(id AS DOUBLE) AS l_extendedprice", "1D AS l_quantity",
+        "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(CAST(id % 60 AS INT)) AS l_shipdate",
+    ).write.parquet(str(tmp_path / "lineitem.parquet"))
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        checked = queries.gold_median_range(spark, str(tmp_path))
+        assert "SortMergeJoin" not in plan_of(checked)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert sorted((r[0], r[2]) for r in checked.collect()) == [("2024-01", True), ("2024-02", True), ("todos", True)]

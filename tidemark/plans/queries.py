@@ -705,7 +705,9 @@ def gold_median_range(spark: SparkSession, folder: str) -> DataFrame:
     whole = sketches.quantile_of(daily.withColumn(s.MONTH, F.lit("todos")), 0.5, s.MONTH)
     rows = fact.withColumn(s.MONTH, F.explode(F.array(month, F.lit("todos"))))
     value = F.col(sketches.VALUE)
-    checked = rows.join(medians.unionByName(whole), s.MONTH).groupBy(s.MONTH, sketches.COUNT)
+    # one row per month: unless it is broadcast, all days' values may meet in one task
+    medians = F.broadcast(medians.unionByName(whole))
+    checked = rows.join(medians, s.MONTH).groupBy(s.MONTH, sketches.COUNT)
     ranks = checked.agg(
         F.avg((F.col(s.MEAN_PRICE) < value).cast("int")).alias("abaixo"),
         F.avg((F.col(s.MEAN_PRICE) <= value).cast("int")).alias("ate"),
