@@ -522,3 +522,51 @@ def test_the_check_of_the_medians_moves_no_value_of_the_fact(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
     assert sorted((r[0], r[2]) for r in checked.collect()) == [("2024-01", True), ("2024-02", True), ("todos", True)]
+
+
+def _hard_numbers():
+    """Ties and their neighbours, every size, and what has no room in longs or decimals."""
+    rnd, found = random.Random(11), [0.0, -0.0, -0.001, -0.004999, 1e18, -1e20, 1e30, 2.0**25, -(2.0**36), None]
+    found += [float("nan"), float("inf"), -float("inf")]
+    for _ in range(3000):
+        tie = (rnd.randrange(-(10**9), 10 ** rnd.randrange(1, 12)) + 0.5) / 100
+        found += [tie, tie * 100, tie + rnd.choice([4e-11, -4e-11, 1e-6, -1e-6, 1e-5])]
+        found += [rnd.uniform(-1, 1) * 10 ** rnd.randrange(-4, 22), round(rnd.uniform(-1, 1) * 1e7, rnd.randrange(6))]
+    return found
+
+
+def test_rounding_of_many_equals_rounding(spark):
+    df = spark.createDataFrame([(x,) for x in _hard_numbers()], "x double")
+    for digits in (0, 2):
+        # as texts, so that the sign of a zero counts
+        want, got = (f("x", digits).cast("string") for f in (numbers.half_up, numbers.half_up_of_many))
+        assert df.where(~got.eqNullSafe(want)).select("x", want, got).collect() == []
+
+
+@pytest.mark.parametrize("groups", [10_000, 300])
+def test_means_of_states_equal_means_of_decimals(spark, groups):
+    rows = [(i % groups, x) for i, x in enumerate(_hard_numbers())]
+    split = exact.with_parts(spark.createDataFrame(rows, "g int, x double"), "x").groupBy("g")
+    for digits in (0, 2):
+        want = split.agg(exact.mean_of_parts("x", digits).cast("string").alias("m"))
+        got = exact.with_means(split.agg(*exact.state_columns("x")), {"x": digits})
+        assert sorted(want.collect(), key=str) == sorted(got.select("g", F.col("x").cast("string")).collect(), key=str)
+
+
+def test_the_daily_means_stay_in_code_that_is_compiled(spark, tmp_path, capsys):
+    """Methods beyond 8,000 bytes are interpreted by the JVM, some ten times slower; small sums
+    are put together without decimals, which had made up most of the time of the aggregate."""
+    rows = [("a", "2024-01-01 00:00:00", 1.0, 2.0, 3.0)]
+    df = spark.createDataFrame([(r[0], r[0], r[0], *r[1:]) for r in rows], "id string, symbol string, name string, timestamp string, current_price double, market_cap double, total_volume double")
+    kept = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        silver.daily_metrics(df.repartition(2)).explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", kept)
+    text = capsys.readouterr().out
+    sizes = [int(part.split(";")[0]) for part in text.split("maxMethodCodeSize:")[1:]]
+    assert sizes and max(sizes) < 8000
+    plan = silver.daily_metrics(df)._jdf.queryExecution().optimizedPlan().toString()
+    joined = [line for line in plan.splitlines() if "decimal(20,0)" in line]
+    assert joined and all("lambdafunction(" in line for line in joined)

@@ -20,7 +20,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.numbers import combined, finite, half_up
+from tidemark.functions.numbers import combined, finite, half_up, half_up_of_many
 
 # numbers of this size and more have no fraction and are summed as plain doubles
 LIMIT = 1e18
@@ -30,6 +30,8 @@ _UNITS = 10**FRACTION_DIGITS
 _WHOLE_BITS = 20
 _FRACTION_BITS = 14
 _DOUBLE_BITS = 53
+# with this much before the point and a fraction of 52 bits, a sum in units takes 53 bits at most
+_SMALL_WHOLE = 1 << 25
 _PARTS = 5
 
 
@@ -71,7 +73,11 @@ def with_parts(df: DataFrame, *columns: str) -> DataFrame:
 
 def sum_of_parts(column: str) -> Column:
     """Exact sum as DECIMAL(38,8) of what is below LIMIT in a split column."""
-    low, middle, high, units, more_units = (F.sum(_part(column, i)) for i in range(_PARTS))
+    return _joined(*(F.sum(_part(column, i)) for i in range(_PARTS)))
+
+
+def _joined(low: Column, middle: Column, high: Column, units: Column, more_units: Column) -> Column:
+    """The five sums put together as a decimal."""
     whole = _times(high, 1 << 2 * _WHOLE_BITS) + _times(middle, 1 << _WHOLE_BITS)
     fraction = _times(more_units, 1 << _FRACTION_BITS) + _times(units, 1)
     unit = F.lit(f"{1 / _UNITS:.{FRACTION_DIGITS}f}").cast("decimal(8,8)")
@@ -100,10 +106,48 @@ def merged_columns(*columns: str) -> list[Column]:
     return [F.sum(name).alias(name) for c in columns for name in (*_summed(c), _size(c))]
 
 
-def mean_of_states(column: str, digits: int) -> Column:
-    """ROUND(AVG(column), digits) over all rows behind stored states."""
-    size = F.nullif(F.sum(_size(column)), F.lit(0))
-    return half_up(combined(sum_of_parts(column), F.sum(_large(column))) / size, digits)
+def with_means(states: DataFrame, digits: dict[str, int]) -> DataFrame:
+    """ROUND(AVG(column), digits) of each split column under its own name, given one state a
+    row; the state columns stay.
+
+    Most groups are small and so are their sums. Such a sum is put together in long arithmetic,
+    as units of 10^-8 that a double holds exactly, and divided down to the same double that the
+    decimal gives; larger sums take the way through the decimal. Done in steps, as above.
+    """
+    df = states.withColumns(
+        {f"{c}_whole": _small_whole(c) for c in digits} | {f"{c}_fraction": _small_fraction(c) for c in digits}
+    )
+    totals = {}
+    for c in digits:
+        whole, fraction = F.col(f"{c}_whole"), F.col(f"{c}_fraction")
+        small = whole.between(-_SMALL_WHOLE, _SMALL_WHOLE) & fraction.isNotNull()
+        units = (whole * F.lit(_UNITS) + fraction).cast("double")
+        totals[f"{c}_total"] = F.when(small, units / F.lit(float(_UNITS))).otherwise(_large_total(c))
+    df = df.withColumns(totals)
+    means = {c: combined(F.col(f"{c}_total"), F.col(_large(c))) / F.nullif(_size(c), F.lit(0)) for c in digits}
+    df = df.withColumns(means).withColumns({c: half_up_of_many(c, n) for c, n in digits.items()})
+    return df.drop(*[f"{c}_{step}" for c in digits for step in ("whole", "fraction", "total")])
+
+
+def _large_total(column: str) -> Column:
+    """The sum by way of the decimal, as a double. It stands in a lambda, as generated code for
+    the decimals of some columns makes a method that is too long for the JVM to compile."""
+    parts = F.array(F.struct(*(F.col(_part(column, i)).alias(f"p{i}") for i in range(_PARTS))))
+    joined = F.transform(parts, lambda sums: _joined(*(sums[f"p{i}"] for i in range(_PARTS))))
+    return F.get(joined, F.lit(0)).cast("double")
+
+
+def _small_whole(column: str) -> Column:
+    """The sum of the whole parts as a long, null where it may not fit."""
+    low, middle, high = (F.col(_part(column, i)) for i in range(3))
+    fits = high.between(-(1 << 12), 1 << 12) & (middle < 1 << 36) & (low < 1 << 56)
+    return F.when(fits, F.shiftleft(high, 2 * _WHOLE_BITS) + F.shiftleft(middle, _WHOLE_BITS) + low)
+
+
+def _small_fraction(column: str) -> Column:
+    """The sum of the fractions in units, null where it takes more than 52 bits."""
+    units, more = (F.col(_part(column, i)) for i in (3, 4))
+    return F.when((more < 1 << 37) & (units < 1 << 50), F.shiftleft(more, _FRACTION_BITS) + units)
 
 
 def _summed(column: str) -> list[str]:

@@ -15,6 +15,9 @@ MEASURE_TYPE = "decimal(28,8)"
 # of that size on a number has no place in it
 LIMIT = 1e20
 ROUNDING_TYPE = "decimal(38,10)"
+# below this size, and this far from a tie, a double rounds to what its decimal rounds to: both
+# its own spacing and the tenth decimal digit are far smaller than that distance
+_PLAIN, _FROM_TIE = float(2**36), 1e-4
 
 
 def finite(column: str | Column) -> Column:
@@ -50,6 +53,15 @@ def half_up(value: str | Column, digits: int) -> Column:
     return F.coalesce(rounded, finite(given))
 
 
+def half_up_of_many(value: str | Column, digits: int) -> Column:
+    """The same for very many rows: only numbers near a tie, and large ones, take the way
+    through the decimal. It is longer code, which aggregates with many columns have no room for."""
+    given = _column(value)
+    scaled = given.try_cast("double") * 10.0**digits
+    clear = (F.abs(scaled) < _PLAIN) & (F.abs(scaled - F.floor(scaled) - 0.5) > _FROM_TIE)
+    return F.when(clear, F.floor(scaled + 0.5) / F.lit(10.0**digits)).otherwise(half_up(given, digits))
+
+
 def exact_mean(column: str | Column, digits: int) -> Column:
     """ROUND(AVG(column), digits), nulls ignored."""
     size = F.nullif(F.count(finite(column)), F.lit(0))
@@ -120,7 +132,7 @@ def ratio(part: Column, whole: Column) -> Column:
 
 def percent_change(now: Column, base: Column, digits: int) -> Column:
     """Change from `base` to `now` in percent; null on a zero or missing base."""
-    return half_up(ratio(now - base, base) * 100, digits)
+    return half_up_of_many(ratio(now - base, base) * 100, digits)
 
 
 def billions(value: str | Column, digits: int) -> Column:

@@ -39,17 +39,7 @@ def daily_metrics(
     are left out; unreadable measures are ignored by the mean. Sums combine before
     the shuffle, so one busy asset or day costs one row per input task.
     """
-    return (
-        exact.with_parts(_dated(observations), *MEASURES)
-        .groupBy(*VERSION)
-        .agg(
-            exact.mean_of_parts(s.PRICE, s.PRICE_DIGITS).alias(s.MEAN_PRICE),
-            exact.mean_of_parts(s.MARKET_CAP, s.MONEY_DIGITS).alias(s.MEAN_CAP),
-            exact.mean_of_parts(s.TOTAL_VOLUME, s.MONEY_DIGITS).alias(s.MEAN_VOLUME),
-            F.max("_seen").alias(s.LAST_SEEN),
-        )
-        .withColumn(s.PROCESSED_AT, calendar.processing_time(processed_at))
-    )
+    return _metrics(daily_state(observations), processed_at)
 
 
 def daily_state(observations: DataFrame) -> DataFrame:
@@ -74,15 +64,18 @@ def metrics_of_states(
     states: DataFrame, processed_at: dt.datetime | str | None = None
 ) -> DataFrame:
     """The daily metrics of all observations behind the states."""
-    return (
-        states.groupBy(*VERSION)
-        .agg(
-            exact.mean_of_states(s.PRICE, s.PRICE_DIGITS).alias(s.MEAN_PRICE),
-            exact.mean_of_states(s.MARKET_CAP, s.MONEY_DIGITS).alias(s.MEAN_CAP),
-            exact.mean_of_states(s.TOTAL_VOLUME, s.MONEY_DIGITS).alias(s.MEAN_VOLUME),
-            F.max(s.LAST_SEEN).alias(s.LAST_SEEN),
-        )
-        .withColumn(s.PROCESSED_AT, calendar.processing_time(processed_at))
+    return _metrics(merge_states(states), processed_at)
+
+
+def _metrics(states: DataFrame, processed_at: dt.datetime | str | None) -> DataFrame:
+    digits = {s.PRICE: s.PRICE_DIGITS, s.MARKET_CAP: s.MONEY_DIGITS, s.TOTAL_VOLUME: s.MONEY_DIGITS}
+    return exact.with_means(states, digits).select(
+        *VERSION,
+        F.col(s.PRICE).alias(s.MEAN_PRICE),
+        F.col(s.MARKET_CAP).alias(s.MEAN_CAP),
+        F.col(s.TOTAL_VOLUME).alias(s.MEAN_VOLUME),
+        s.LAST_SEEN,
+        calendar.processing_time(processed_at).alias(s.PROCESSED_AT),
     )
 
 
