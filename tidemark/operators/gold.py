@@ -73,7 +73,7 @@ def change_d1(fact: DataFrame) -> DataFrame:
         s.DAY, s.ASSET, s.LABEL, s.TITLE, s.MEAN_PRICE, before.alias("preco_medio_ontem_usd")
     ).select(
         "*",
-        numbers.half_up(now - then, s.PRICE_DIGITS).alias("variacao_abs_d1_usd"),
+        numbers.half_up_of_many(now - then, s.PRICE_DIGITS).alias("variacao_abs_d1_usd"),
         numbers.percent_change(now, then, s.PRICE_DIGITS).alias("variacao_pct_d1"),
     )
 
